@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from judgex.llm import mixing
+from judgex.llm import decontamination, mixing, quality
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op8_decontaminate": decontamination.op8_decontaminate,
+    "op10_quality_rules": quality.op10_quality_rules,
 }
 
 ORACLES = {
     "op1_mix_sources": mixing.ORACLE,
+    "op8_decontaminate": decontamination.ORACLE,
 }
