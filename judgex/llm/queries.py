@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from judgex.llm import decontamination, mixing, quality
+from judgex.llm import decontamination, jaccard, mixing, quality, spans
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op5_jaccard_join": jaccard.op5_jaccard_join,
     "op8_decontaminate": decontamination.op8_decontaminate,
+    "op9_sentence_spans": spans.op9_sentence_spans,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 
 ORACLES = {
     "op1_mix_sources": mixing.ORACLE,
+    "op5_jaccard_join": jaccard.op5_jaccard_join,
     "op8_decontaminate": decontamination.ORACLE,
 }
