@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from judgex.llm import decontamination, jaccard, mixing, quality, spans
+from judgex.llm import decontamination, jaccard, mixing, quality, spans, suffixes, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_warc": warc.op2_warc,
     "op5_jaccard_join": jaccard.op5_jaccard_join,
+    "op6_suffix_dedup": suffixes.op6_suffix_dedup,
     "op8_decontaminate": decontamination.op8_decontaminate,
     "op9_sentence_spans": spans.op9_sentence_spans,
     "op10_quality_rules": quality.op10_quality_rules,
@@ -14,6 +16,8 @@ QUERIES = {
 
 ORACLES = {
     "op1_mix_sources": mixing.ORACLE,
+    "op2_warc": warc.op2_warc,
     "op5_jaccard_join": jaccard.op5_jaccard_join,
+    "op2_warc": warc.ORACLE,
     "op8_decontaminate": decontamination.ORACLE,
 }
