@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from judgex.llm import decontamination, jaccard, mixing, quality, spans, suffixes, warc
+from judgex.llm import classifier, decontamination, html, jaccard, mixing, quality, spans, suffixes, urls, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_warc": warc.op2_warc,
+    "op3_quality_classifier": classifier.op3_quality_classifier,
+    "op4_url_filter": urls.op4_url_filter,
     "op5_jaccard_join": jaccard.op5_jaccard_join,
     "op6_suffix_dedup": suffixes.op6_suffix_dedup,
+    "op7_html_text": html.op7_html_text,
     "op8_decontaminate": decontamination.op8_decontaminate,
     "op9_sentence_spans": spans.op9_sentence_spans,
     "op10_quality_rules": quality.op10_quality_rules,
@@ -17,6 +20,8 @@ QUERIES = {
 ORACLES = {
     "op1_mix_sources": mixing.ORACLE,
     "op2_warc": warc.op2_warc,
+    "op3_quality_classifier": classifier.op3_quality_classifier,
+    "op4_url_filter": urls.op4_url_filter,
     "op5_jaccard_join": jaccard.op5_jaccard_join,
     "op2_warc": warc.ORACLE,
     "op8_decontaminate": decontamination.ORACLE,
