@@ -138,13 +138,15 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, seeds: Sequence[str]
     host_tokens = hosts.select("block", "urls", F.explode("words").alias("t")).groupBy("block", _bucket(F.col("t")).alias("k")).agg(F.sum("urls").alias("n"))
     paths = urls.groupBy("host", "path").agg(F.count(F.lit(1)).alias("urls")).join(hosts.select("host", "block"), "host")
     path_tokens = paths.select("block", "urls", F.explode(tokens_of(F.col("path"))).alias("t")).groupBy("block", _bucket(F.col("t")).alias("k")).agg(F.sum("urls").alias("n"))
-    seen = np.ones((2, BUCKETS))
+    seen = np.zeros((2, BUCKETS))
     for block, k, n in host_tokens.unionAll(path_tokens).groupBy("block", "k").agg(F.sum("n")).collect():  # at most 2 * BUCKETS rows
         seen[int(block), k] += n
     prior = np.array([1.0, 1.0])
     for block, n in hosts.groupBy("block").agg(F.sum("urls")).collect():
         prior[int(block)] += n
-    weight = np.log(seen[1] / seen[1].sum()) - np.log(seen[0] / seen[0].sum())
+    used = seen.sum(0) > 0  # one more of every token that occurs; others say nothing
+    chance = (seen + 1) / (seen.sum(1, keepdims=True) + max(1, used.sum()))
+    weight = np.where(used, np.log(chance[1] / chance[0]), 0.0)
     base = float(np.log(prior[1] / prior[0]))
     shared = pages.sparkSession.sparkContext.broadcast(weight)
 
