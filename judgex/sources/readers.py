@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from judgex.functions.pytext import SPACE, filled, strip
 from judgex.operators.resume import FILE, POS
 
-_BOM = "﻿"
+_BOM = "\ufeff"
 
 
 def _files(spark: SparkSession, path: str, glob: str, exclude: str | None = None) -> DataFrame:
     """Whole files as text: rows (_file, _text), without a byte order mark. ``exclude`` leaves out a nested folder."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path)
+    df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path, wholetext=True)
     df = df.select(F.col("_metadata.file_path").alias(FILE), F.regexp_replace("value", f"\\A{_BOM}", "").alias("_text"))
     return df.filter(~F.contains(FILE, F.lit("/" + exclude.strip("/") + "/"))) if exclude else df
 
@@ -80,7 +80,7 @@ def json_lines_splittable(spark: SparkSession, path: str, schema: str, glob: str
 
 
 def _parsed_lines(rows: DataFrame, schema: str) -> DataFrame:
-    rows = rows.filter(F.try_parse_json("_json").isNotNull() & F.col("_json").rlike(rf"\A[{SPACE}﻿]*\{{"))
+    rows = rows.filter(F.try_parse_json("_json").isNotNull() & F.col("_json").rlike(rf"\A[{SPACE}\ufeff]*\{{"))
     return rows.select(F.from_json("_json", schema).alias("_r"), FILE, POS, "_json").select("_r.*", FILE, POS, "_json")
 
 
