@@ -7,7 +7,7 @@ some cumulative amount is due at the time at which the demand reaches it, so inv
 its training position. Documents are range-sorted by position.
 
 A source's documents come in the order of md5(doc_id); each pass over the source takes them all, and the last,
-partial pass takes documents while more than half of the document fits. Running sums never
+partial pass takes documents up to the target, the last of them by its first words only. Running sums never
 put a source in one task: rows are cut into about sqrt(n) md5 ranges, summed on their own, and shifted by the
 ranges before them.
 
@@ -105,17 +105,18 @@ def mix(
     order = Window.partitionBy("skey", "part").orderBy("h", F.col("doc_id").asc_nulls_first(), "size", "tie").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("here", F.sum("size").over(order)).join(sums, ["skey", "part"])
 
-    end = F.col("base") + F.col("here")
-    passes = F.floor(F.col("target") / F.col("source_size"))
-    rest = F.col("target") - passes * F.col("source_size")
-    middle = end - F.col("size") / 2
-    copies = F.when((F.col("size") == 0) | (F.col("source_size") == 0), F.lit(0)).otherwise(passes + (middle < rest).cast("long")).cast("int")
-    rows = rows.withColumn("copies", F.least(copies, F.lit(max_repeat)))
+    start = F.col("base") + F.col("here") - F.col("size")
+    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
+    rest = F.floor(F.col("target") - passes * F.col("source_size") + 0.5).cast("long")
+    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - start))
+    rows = rows.withColumns({"start": start, "passes": passes, "part": part})
+    rows = rows.withColumn("copies", F.when(F.col("size") > 0, F.col("passes") + (F.col("part") > 0).cast("long")).otherwise(F.lit(0)).cast("int"))
+    middle = F.col("start") + F.col("size") / 2
     due = lambda i: F.least(F.lit(1.0), ((i - 1) * F.col("source_size") + middle) / F.col("target"))
     times = lambda knots: F.transform(F.sequence(F.lit(1), F.col("copies")), lambda i: _time_at(due(i), knots))
     when = F.coalesce(*(F.when(F.col("k") == i, times(knots)) for i, knots in enumerate(schedules)))
     rows = rows.withColumn("positions", F.when(F.col("copies") > 0, when).otherwise(F.array().cast("array<double>")))
-    out = rows.select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "positions", "h")
+    out = rows.select("doc_id", "source", "size", "source_size", "target", (F.col("passes") * F.col("size") + F.col("part")).alias("taken"), "positions", "h")
     # documents that are never due come last, spread by their hash
     at = F.coalesce(F.get("positions", F.lit(0)), 1 + F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32)))
     return out.withColumn("at", at).repartitionByRange("at", "h").sortWithinPartitions("at", "h").drop("at", "h")
@@ -153,11 +154,11 @@ WITH d AS (
   SELECT source, source_size, CASE WHEN level IS NULL OR w * level > cap THEN CAST(cap AS DOUBLE) ELSE w * level END AS target FROM t
 ), r AS (
   SELECT d.doc_id, d.size, g.source_size, g.target,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size / 2.0 AS middle,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS start,
          CASE WHEN g.source_size = 0 THEN 0 ELSE floor(g.target / g.source_size) END AS passes
   FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
 )
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-       CAST(CASE WHEN size = 0 THEN 0 ELSE size * least(3, passes + CASE WHEN middle < target - passes * source_size THEN 1 ELSE 0 END) END AS BIGINT) AS taken
+       CAST(passes * size + greatest(0, least(size, floor(target - passes * source_size + 0.5) - start)) AS BIGINT) AS taken
 FROM r
 """
