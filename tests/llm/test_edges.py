@@ -11,7 +11,7 @@ from judgex.session import scratch
 LONG = " ".join(f"word{i % 977} and" for i in range(40_000))
 PROSE = "The quick brown fox jumps over the lazy dog near the river bank. " * 12
 DOCS = [
-    (1, PROSE, "en", "a"), (1, PROSE, "en", "a"), (2, PROSE + "Extra words.", "xx", None), (3, None, None, "a"), (None, "short text here", "en", "b"), (None, None, None, None),
+    (1, PROSE, "en", "a"), (1, PROSE, "en", "a"), (2, PROSE.upper(), "xx", None), (3, None, None, "a"), (None, "short text here", "en", "b"), (None, None, None, None),
     (4, "", "en", "b"), (5, " \n\t ", "fr", ""), (6, LONG, "en", "c"), (7, "\u0000 \U0001f600 ünï\x85cödé", "de", "c"),
 ]
 SCHEMA = "doc_id long, text string, lang string, source string"
