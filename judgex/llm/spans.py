@@ -107,20 +107,20 @@ def _with_id(docs: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """Rows (rid, pos): sentences to remove, by xxhash64(doc_id, text) and sentence number."""
+    """Rows (rid, pos, n): spans to remove, by xxhash64(doc_id, text), first sentence and number of sentences."""
     every = over(_with_id(docs), _emit, "h long, doc_id long, rid long, pos int, n int")
     # null ids last: a struct's nulls sort first, so a flag goes before
     seat = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "rid", "pos")
     seats = every.groupBy("h").agg(F.min(seat).alias("first"), F.max(seat).alias("last"))
     again = cut(seats.filter("first != last").select("h", "first.rid", F.col("first.pos").alias("pos")), "span-repeats")
-    hit = every.alias("e").join(again.alias("a"), "h").filter("e.rid != a.rid or e.pos != a.pos")
-    covered = hit.select("e.rid", F.explode(F.sequence(F.col("e.pos"), F.col("e.pos") + F.col("e.n") - 1)).alias("pos"))
-    return covered.groupBy("rid", "pos").agg(F.lit(True).alias("x")).drop("x")
+    return every.alias("e").join(again.alias("a"), "h").filter("e.rid != a.rid or e.pos != a.pos").select("e.rid", "e.pos", "e.n")
 
 
 def _removed(docs: DataFrame) -> DataFrame:
     """One row (rid, gone) a document that loses sentences; gone is bounded by the document."""
-    return cut(repeats(docs).groupBy("rid").agg(F.sort_array(F.collect_list("pos")).alias("gone")), "span-removed")
+    spans = repeats(docs).groupBy("rid").agg(F.collect_set(F.struct("pos", "n")).alias("spans"))
+    each = F.flatten(F.transform("spans", lambda s: F.sequence(s["pos"], s["pos"] + s["n"] - 1)))
+    return cut(spans.select("rid", F.array_sort(F.array_distinct(each)).alias("gone")), "span-removed")
 
 
 def remains(text: bytes | None, gone: list[int]) -> tuple[bytes | None, int, int]:
