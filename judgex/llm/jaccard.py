@@ -12,10 +12,11 @@ shingles say little and would gather strangers. A set whose weak parts number le
 part must then agree, and is as strong in the other set); any other set also gives its weak parts.
 
 Candidates are not all pairs of a bucket. First, neighbours in the order of each bucket are verified and linked.
-Then only buckets that still hold several components are searched exhaustively: members in blocks of ``BLOCK``, a
-task compares the bit sketches of two blocks, and passes on the pairs within the bound that no link connects
-yet. So no link that could join two components is missed, and no bucket is ever gathered whole. Pairs are
-verified on the shingles themselves, with integers.
+Then only buckets that still hold several components are searched, members in blocks of ``BLOCK``: a task compares the bit
+sketches of two blocks and passes on pairs within the bound, no more than would connect the bucket's components. They are
+verified; rounds go on, leaving out pairs that were verified in vain, until no bucket has a pair left. So no link that
+could join two components is missed, no bucket is gathered whole, and a group of near copies gives as many pairs
+as members. Pairs are verified on the shingles themselves, with integers.
 
 Exact copies are one vertex (by the 64-bit hash of the text). Defined results: null and wordless texts have the empty
 set and link with nothing; texts with fewer than k words have one shingle, all their words; repeated
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from judgex.llm import kernels as K
-from judgex.llm.arrow import over, table
+from judgex.llm.arrow import batched, over, table
 from judgex.llm.components import components
 from judgex.session import cut
 
@@ -120,18 +121,19 @@ def _sets(b: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _sizes(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Rows (doc_id, uid, n_shingles, low, high): set size and the bit sketches for the two join bands of each row."""
+    """Rows (doc_id, uid, n_shingles, own, low, high): set size, band, and the bit sketches for the join bands below and of it."""
 
     def f(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        n, low, high = [0] * b.num_rows, [None] * b.num_rows, [None] * b.num_rows
+        n, low, high, own = [0] * b.num_rows, [None] * b.num_rows, [None] * b.num_rows, [0] * b.num_rows
         for i, u in _sets(b, rule.k):
             n[i] = len(u)
             if len(u):
                 j0, j1 = _bands(len(u), rule)
+                own[i] = j1
                 low[i], high[i] = bit_sketch(u, rule.bits(j0)), bit_sketch(u, rule.bits(j1))
-        yield table(doc_id=b.column("doc_id"), uid=b.column("uid"), n_shingles=pa.array(n, pa.int64()), low=pa.array(low, pa.binary()), high=pa.array(high, pa.binary()))
+        yield table(doc_id=b.column("doc_id"), uid=b.column("uid"), n_shingles=pa.array(n, pa.int64()), own=pa.array(own, pa.int32()), low=pa.array(low, pa.binary()), high=pa.array(high, pa.binary()))
 
-    return over(docs, f, "doc_id long, uid long, n_shingles long, low binary, high binary")
+    return over(docs, f, "doc_id long, uid long, n_shingles long, own int, low binary, high binary")
 
 
 def _keys(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -163,8 +165,6 @@ def _keys(docs: DataFrame, rule: Rule) -> DataFrame:
             if keys:
                 yield table(key=K.signed(np.concatenate(keys)), uid=np.concatenate(ids), band=np.concatenate(bands))
 
-    from judgex.llm.arrow import batched
-
     return batched(docs.select("uid", "text")).mapInArrow(run, "key long, uid long, band int")
 
 
@@ -216,8 +216,57 @@ def _filtered(pairs: DataFrame, sigs: DataFrame, rule: Rule) -> DataFrame:
     return over(rows, f, "a long, b long").distinct()
 
 
-def _rest(multi: DataFrame, roots: DataFrame, sigs: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs within the bound, of buckets that still hold several components, from different components."""
+def _forest(t: pa.RecordBatch, percent: int, failed: dict[int, set[int]]) -> list[tuple[int, int]]:
+    """Of one bucket (or two of its blocks): pairs within the bound, not yet verified in vain, that would connect its components."""
+    n, uid, root, block = (t.column(c).to_numpy() for c in ("n_shingles", "uid", "root", "block"))
+    sk = np.stack([np.frombuffer(x, np.uint64) for x in t.column("sketch").to_pylist()])
+    two = t.column("x")[0].as_py() != t.column("y")[0].as_py()
+    up: dict[int, int] = {}
+
+    def find(r: int) -> int:
+        while (p := up.get(r, r)) != r:
+            up[r] = r = up.get(p, p)
+        return r
+
+    out = []
+    for i in range(len(n) - 1):
+        to = np.flatnonzero((root[i + 1 :] != root[i]) & _could(n[i + 1 :], n[i], percent)) + i + 1
+        if two:
+            to = to[block[to] != block[i]]
+        if len(to):
+            to = to[_near(sk[to], sk[i], _most(n[to], n[i], percent))]
+        bad = failed.get(int(uid[i]), ())
+        for j in to.tolist():
+            p, q = find(int(root[i])), find(int(root[j]))
+            if p != q and int(uid[j]) not in bad:
+                up[q] = p
+                out.append((int(uid[i]), int(uid[j])))
+    return out
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of equal (key, x, y) of sorted batches; a run may go on in the next batch."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k, x, y = (b.column(c).to_numpy() for c in ("key", "x", "y"))
+        cuts = (np.flatnonzero((np.diff(k) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0)) + 1).tolist()
+        if held and any(held[0].column(c)[0] != b.column(c)[0] for c in ("key", "x", "y")):
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+        edges = [0, *cuts, b.num_rows]
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            held.append(b.slice(lo, hi - lo))
+            if hi < b.num_rows:
+                yield held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _rest(multi: DataFrame, roots: DataFrame, sigs: DataFrame, failed: DataFrame | None, rule: Rule) -> DataFrame:
+    """Rows (key, a, b): pairs to verify, of buckets that still hold several components."""
     with_root = multi.select("key", "band", "uid").distinct().join(roots.toDF("uid", "root"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
     mixed = with_root.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("m > 2 and r0 != r1").select("key", "m")
     rows = with_root.join(mixed, "key")
@@ -225,27 +274,30 @@ def _rest(multi: DataFrame, roots: DataFrame, sigs: DataFrame, rule: Rule) -> Da
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", "band", "uid", "root", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-    rows = rows.join(sigs.select("uid", "n_shingles", "low", "high"), "uid")
+    sketch = F.when(F.col("band") == F.col("own"), F.col("high")).otherwise(F.col("low"))
+    rows = rows.join(sigs.select("uid", "n_shingles", "own", "low", "high"), "uid").withColumn("sketch", sketch).drop("low", "high", "own", "band")
+    bad = F.lit(None).cast("array<long>")
+    if failed is not None:
+        both = failed.unionAll(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        rows = rows.join(both.groupBy(F.col("a").alias("uid")).agg(F.collect_set("b").alias("bad")), "uid", "left")
+        bad = F.col("bad")
+    rows = rows.select("key", "x", "y", "uid", "root", "block", "n_shingles", "sketch", bad.alias("bad"))
     percent = rule.percent
 
-    def f(t: pa.Table) -> pa.Table:
-        n, uid, root, block = (t.column(c).to_numpy() for c in ("n_shingles", "uid", "root", "block"))
-        band = t.column("band")[0].as_py()
-        x, y = t.column("x")[0].as_py(), t.column("y")[0].as_py()
-        sk = np.array([np.frombuffer(lo if rule.band(int(k)) - 1 == band else hi, np.uint64) for lo, hi, k in zip(t.column("low").to_pylist(), t.column("high").to_pylist(), n)])
-        a, b = [], []
-        for i in range(len(n)):
-            to = np.arange(i + 1, len(n))
-            if x != y:
-                to = to[block[to] != block[i]]
-            to = to[(root[to] != root[i]) & _could(n[to], n[i], percent)]
-            to = to[_near(sk[to], sk[i], _most(n[to], n[i], percent))] if len(to) else to
-            a.append(np.full(len(to), uid[i]))
-            b.append(uid[to])
-        a, b = np.concatenate(a), np.concatenate(b)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return rows.groupBy("key", "x", "y").applyInArrow(f, "a long, b long").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[int, int, int]] = []
+        for g in _groups(batches):
+            key = g.column("key")[0].as_py()
+            known = {u: set(x) for u, x in zip(g.column("uid").to_pylist(), g.column("bad").to_pylist()) if x} if g.column("bad").null_count < g.num_rows else {}
+            found += [(key, min(p), max(p)) for p in _forest(g, percent, known)]
+            if len(found) > 50_000:
+                yield table(key=[p[0] for p in found], a=[p[1] for p in found], b=[p[2] for p in found])
+                found = []
+        if found:
+            yield table(key=[p[0] for p in found], a=[p[1] for p in found], b=[p[2] for p in found])
+
+    rows = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "uid")
+    return batched(rows).mapInArrow(run, "key long, a long, b long")
 
 
 def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -258,17 +310,26 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     keys = keys.withColumn("prev", F.lag("uid").over(w)).withColumn("next", F.lead("uid").over(w))
     multi = cut(keys.filter("prev != uid or next != uid").select("key", "band", "uid", F.when(F.col("prev") != F.col("uid"), F.col("prev")).alias("prev")), "jaccard-buckets")
     alike = multi.select("uid").distinct()
-    sigs = cut(sized.join(alike, "uid", "left_semi").groupBy("uid").agg(F.first("n_shingles").alias("n_shingles"), F.first("low").alias("low"), F.first("high").alias("high")), "jaccard-sketches")
+    sigs = cut(sized.join(alike, "uid", "left_semi").groupBy("uid").agg(F.first("n_shingles").alias("n_shingles"), F.first("own").alias("own"), F.first("low").alias("low"), F.first("high").alias("high")), "jaccard-sketches")
     near = cut(_filtered(multi.filter("prev is not null").select(F.col("prev").alias("a"), F.col("uid").alias("b"), "band").distinct(), sigs, rule), "jaccard-pairs")
     ends = lambda p: p.select(F.col("a").alias("uid")).unionAll(p.select("b")).distinct()
     texts_of = lambda p, name: cut(real.select("uid", "text").join(ends(p), "uid", "left_semi").groupBy("uid").agg(F.first("text").alias("text")), name)
     edges = cut(_verified(near, texts_of(near, "jaccard-texts"), rule), "jaccard-edges")
     roots = components(edges)
-    more = cut(_rest(multi, roots, sigs, rule), "jaccard-rest")
-    if not more.isEmpty():
+    failed = None
+    while True:  # each round links components or learns of pairs that don't link
+        passed = cut(_rest(multi, roots, sigs, failed, rule), "jaccard-rest")
+        if passed.isEmpty():
+            break
+        # a bucket without a pair left never has one again
+        multi = multi.join(passed.select("key").distinct(), "key", "left_semi")
+        more = passed.select("a", "b").distinct()
         extra = cut(_verified(more, texts_of(more, "jaccard-more-texts"), rule), "jaccard-more-edges")
+        missed = more.join(extra, ["a", "b"], "left_anti")
+        failed = cut(missed if failed is None else failed.unionAll(missed), "jaccard-failed")
         if not extra.isEmpty():
-            roots = components(edges.unionAll(extra))
+            edges = edges.unionAll(extra)
+            roots = components(edges)
     labelled = sized.select("doc_id", "uid", "n_shingles").join(roots.toDF("uid", "root"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
     least = labelled.filter("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
     out = labelled.join(least, "root", "left")
