@@ -14,7 +14,8 @@ part must then agree, and is as strong in the other set); any other set also giv
 Candidates are not all pairs of a bucket. First, neighbours in the order of each bucket are verified and linked.
 Then only buckets that still hold several components are searched, members in blocks of ``BLOCK``: a task compares the bit
 sketches of two blocks and passes on pairs within the bound, no more than would connect the bucket's components. They are
-verified; rounds go on, leaving out pairs that were verified in vain, until no bucket has a pair left. So no link that
+verified; rounds go on, leaving out pairs that were verified in vain and passing on twice as many, until no bucket has a
+pair left, which takes about log2 of the largest bucket's size. So no link that
 could join two components is missed, no bucket is gathered whole, and a group of near copies gives as many pairs
 as members. Pairs are verified on the shingles themselves, with integers.
 
@@ -216,14 +217,17 @@ def _filtered(pairs: DataFrame, sigs: DataFrame, rule: Rule) -> DataFrame:
     return over(rows, f, "a long, b long").distinct()
 
 
-def _forest(t: pa.RecordBatch, percent: int, failed: dict[int, set[int]]) -> list[tuple[int, int]]:
-    """Of one bucket (or two of its blocks): pairs within the bound, not yet verified in vain, that would connect its components."""
+def _forest(t: pa.RecordBatch, percent: int, failed: dict[int, set[int]], width: int = 1) -> list[tuple[int, int]]:
+    """Of one bucket (or two of its blocks): pairs within the bound, not yet verified in vain, that would connect its components.
+
+    They are the edges of at most ``width`` forests over the components that share no edge.
+    """
     n, uid, root, block = (t.column(c).to_numpy() for c in ("n_shingles", "uid", "root", "block"))
     sk = np.stack([np.frombuffer(x, np.uint64) for x in t.column("sketch").to_pylist()])
     two = t.column("x")[0].as_py() != t.column("y")[0].as_py()
-    up: dict[int, int] = {}
+    forests: list[dict[int, int]] = [{} for _ in range(width)]
 
-    def find(r: int) -> int:
+    def find(up: dict[int, int], r: int) -> int:
         while (p := up.get(r, r)) != r:
             up[r] = r = up.get(p, p)
         return r
@@ -237,10 +241,14 @@ def _forest(t: pa.RecordBatch, percent: int, failed: dict[int, set[int]]) -> lis
             to = to[_near(sk[to], sk[i], _most(n[to], n[i], percent))]
         bad = failed.get(int(uid[i]), ())
         for j in to.tolist():
-            p, q = find(int(root[i])), find(int(root[j]))
-            if p != q and int(uid[j]) not in bad:
-                up[q] = p
-                out.append((int(uid[i]), int(uid[j])))
+            if int(uid[j]) in bad:
+                continue
+            for up in forests:
+                p, q = find(up, int(root[i])), find(up, int(root[j]))
+                if p != q:
+                    up[q] = p
+                    out.append((int(uid[i]), int(uid[j])))
+                    break
     return out
 
 
@@ -265,7 +273,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _rest(multi: DataFrame, roots: DataFrame, sigs: DataFrame, failed: DataFrame | None, rule: Rule) -> DataFrame:
+def _rest(multi: DataFrame, roots: DataFrame, sigs: DataFrame, failed: DataFrame | None, rule: Rule, width: int) -> DataFrame:
     """Rows (key, a, b): pairs to verify, of buckets that still hold several components."""
     with_root = multi.select("key", "band", "uid").distinct().join(roots.toDF("uid", "root"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
     mixed = with_root.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("m > 2 and r0 != r1").select("key", "m")
@@ -289,7 +297,7 @@ def _rest(multi: DataFrame, roots: DataFrame, sigs: DataFrame, failed: DataFrame
         for g in _groups(batches):
             key = g.column("key")[0].as_py()
             known = {u: set(x) for u, x in zip(g.column("uid").to_pylist(), g.column("bad").to_pylist()) if x} if g.column("bad").null_count < g.num_rows else {}
-            found += [(key, min(p), max(p)) for p in _forest(g, percent, known)]
+            found += [(key, min(p), max(p)) for p in _forest(g, percent, known, width)]
             if len(found) > 50_000:
                 yield table(key=[p[0] for p in found], a=[p[1] for p in found], b=[p[2] for p in found])
                 found = []
@@ -316,13 +324,14 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     texts_of = lambda p, name: cut(real.select("uid", "text").join(ends(p), "uid", "left_semi").groupBy("uid").agg(F.first("text").alias("text")), name)
     edges = cut(_verified(near, texts_of(near, "jaccard-texts"), rule), "jaccard-edges")
     roots = components(edges)
-    failed = None
+    failed, width = None, 1
     while True:  # each round links components or learns of pairs that don't link
-        passed = cut(_rest(multi, roots, sigs, failed, rule), "jaccard-rest")
+        passed = cut(_rest(multi, roots, sigs, failed, rule, width), "jaccard-rest")
         if passed.isEmpty():
             break
         # a bucket without a pair left never has one again
-        multi = multi.join(passed.select("key").distinct(), "key", "left_semi")
+        multi = cut(multi.join(passed.select("key").distinct(), "key", "left_semi"), "jaccard-open")
+        width *= 2
         more = passed.select("a", "b").distinct()
         extra = cut(_verified(more, texts_of(more, "jaccard-more-texts"), rule), "jaccard-more-edges")
         missed = more.join(extra, ["a", "b"], "left_anti")
