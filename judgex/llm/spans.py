@@ -1,8 +1,9 @@
 """Substring dedup over sliding sentence spans.
 
-A text is cut into sentences: after a word whose trailing punctuation has . ! or ?, and at line breaks.
-Sentences of over ``LONG`` words (lists, code, unpunctuated text) are cut further, after each word whose hash is
-divisible by ``CUT``, so the cuts depend on the content alone. From every sentence starts one span: the shortest run of at
+A text is cut into sentences: after a word whose trailing punctuation has . ! or ?, at line breaks, and, everywhere,
+after the word with the least hash (the last of equal ones) of each window of ``GAP`` words. So no sentence has over
+``GAP`` words, and whether a cut is made depends on the ``GAP`` - 1 words before and after it alone: every ``GAP`` words of a
+passage hold a cut that all its copies share, whatever stands around them. From every sentence starts one span: the shortest run of at
 least ``RUN`` sentences and ``WORDS`` words. Spans are hashed (words compared with A-Z lower-cased, white space
 ignored) and joined globally; a sentence that any but the first occurrence of a repeated span covers is
 removed with the white space after it. The first occurrence is that with the least (doc_id, text hash, position).
@@ -30,7 +31,7 @@ from judgex.llm import kernels as K
 from judgex.llm.arrow import batched, over, table
 from judgex.session import cut
 
-RUN, WORDS, LONG, CUT = 2, 16, 24, 8
+RUN, WORDS, GAP = 2, 16, 8
 _STOP = K.byte_set(b".!?")
 _SOLID = ~K.NON_ALNUM
 
@@ -54,13 +55,27 @@ def sentences(data: np.ndarray, offs: np.ndarray) -> tuple[K.Words, np.ndarray,
     last[:-1] |= lines[w.starts[1:]] > lines[w.ends[:-1]]
     last[:-1] |= w.row[1:] != w.row[:-1]
     last[-1] = True
-    begin = np.concatenate(([0], np.flatnonzero(last)[:-1] + 1))
-    size = np.diff(np.append(begin, n))
-    extra = np.repeat(size > LONG, size) & (h % np.uint64(CUT) == 0)
-    last |= extra
+    last |= _lows(w.row, h)
     return w, h, np.concatenate(([0], np.flatnonzero(last)[:-1] + 1))
 
 
+def _lows(row: np.ndarray, h: np.ndarray, gap: int = GAP) -> np.ndarray:
+    """Words that have the least hash, the last of equal ones, of a window of ``gap`` words of their row."""
+    out = np.zeros(len(h), bool)
+    m = len(h) - gap + 1
+    if m <= 0:
+        return out
+    least = h[:m].copy()
+    for k in range(1, gap):
+        np.minimum(least, h[k : k + m], out=least)
+    todo = row[:m] == row[gap - 1 :]
+    for k in range(gap - 1, -1, -1):
+        hit = todo & (h[k : k + m] == least)
+        out[k : k + m] |= hit
+        todo &= ~hit
+    return out
+
+
 def spans(w: K.Words, h: np.ndarray, begin: np.ndarray, run: int = RUN, least: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first sentence, sentence after the last, hash) of each span of a slab."""
     m, n = len(begin), len(h)

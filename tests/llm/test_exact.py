@@ -286,3 +286,20 @@ def test_templates_without_marks_go(spark):
 )
 def test_parser(source, text):
     assert html.main_text(html.parse(source)) == text
+
+
+@pytest.mark.parametrize("marks", [".", ""])
+def test_passages_inside_sentences_go(spark, marks):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    rows, passages = [], []
+    for i in range(60):
+        passage = [word() + (marks if rng.random() < 0.1 else "") for _ in range(51)]
+        passages.append(passage)
+        for d in range(2):
+            around = [word() for _ in range(rng.randint(5, 20) * 2)]
+            half = len(around) // 2
+            rows.append((2 * i + d, " ".join(around[:half] + passage + around[half:]), "en", "s"))
+    got = {r.doc_id: set(r.text.split()) for r in spans.strip(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i, p in enumerate(passages):
+        assert set(p) <= got[2 * i] and sum(w not in got[2 * i + 1] for w in p) > len(p) / 2
