@@ -3,13 +3,13 @@
 A text is cut into sentences: after a word whose trailing punctuation has . ! or ?, at line breaks, and, everywhere,
 after the word with the least hash (the last of equal ones) of each window of ``GAP`` words. So no sentence has over
 ``GAP`` words, and whether a cut is made depends on the ``GAP`` - 1 words before and after it alone: every ``GAP`` words of a
-passage hold a cut that all its copies share, whatever stands around them. From every sentence starts one span: the shortest run of at
-least ``RUN`` sentences and ``WORDS`` words. Spans are hashed (words compared with A-Z lower-cased, white space
+passage hold a cut that all its copies share, whatever stands around them. At every sentence starts one span, and one ends: the shortest
+run of at least ``RUN`` sentences and ``WORDS`` words. Together they cover whatever a longer repeated run covers. Spans are hashed (words compared with A-Z lower-cased, white space
 ignored) and joined globally; a sentence that any but the first occurrence of a repeated span covers is
 removed with the white space after it. The first occurrence is that with the least (doc_id, text hash, position).
 
-Spans are counted by a map-side combined aggregate, so a span in a third of all documents is one row a task; no
-group of occurrences is ever collected. What is collected is a document's own removed sentences.
+Span hashes are counted by a map-side combined aggregate, so a span in a third of all documents is one row a task; only
+occurrences of those that repeat are written and compared with the first. No group of occurrences is ever collected. What is collected is a document's own removed sentences.
 
 Defined results: null and empty texts have no sentences; rows that agree in doc_id and text are one document, whose
 copies all keep what the first occurrence keeps; a null doc_id orders last; within a document, later
@@ -90,6 +90,13 @@ def spans(w: K.Words, h: np.ndarray, begin: np.ndarray, run: int = RUN, least: i
     i, j = i[ok], j[ok]
     same = w.row[start[i]] == w.row[start[j] - 1]
     i, j = i[same], j[same]
+    # where none of these ends at a sentence's end, the shortest run that does
+    ends = np.setdiff1d(np.arange(1, m + 1), j)
+    back = np.minimum(np.searchsorted(start, start[ends] - least, "right") - 1, ends - run)
+    ok = back >= 0
+    ends, back = ends[ok], back[ok]
+    same = w.row[start[back]] == w.row[start[ends] - 1]
+    i, j = np.concatenate((i, back[same])), np.concatenate((j, ends[same]))
     # hash of the words of the run, from running sums of word hash times a power of an odd base
     return i, j, _run_hash(h, start[i], start[j])
 
@@ -124,11 +131,12 @@ def _with_id(docs: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame) -> DataFrame:
     """Rows (rid, pos, n): spans to remove, by xxhash64(doc_id, text), first sentence and number of sentences."""
     every = over(_with_id(docs), _emit, "h long, doc_id long, rid long, pos int, n int")
+    again = cut(every.groupBy("h").count().filter("count > 1").select("h"), "span-repeats")
+    found = cut(every.join(again, "h", "left_semi"), "span-places")
     # null ids last: a struct's nulls sort first, so a flag goes before
     seat = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "rid", "pos")
-    seats = every.groupBy("h").agg(F.min(seat).alias("first"), F.max(seat).alias("last"))
-    again = cut(seats.filter("first != last").select("h", "first.rid", F.col("first.pos").alias("pos")), "span-repeats")
-    return every.alias("e").join(again.alias("a"), "h").filter("e.rid != a.rid or e.pos != a.pos").select("e.rid", "e.pos", "e.n")
+    first = found.groupBy("h").agg(F.min(seat).alias("first")).select("h", F.col("first.rid").alias("first_rid"), F.col("first.pos").alias("first_pos"))
+    return found.join(first, "h").filter("rid != first_rid or pos != first_pos").select("rid", "pos", "n")
 
 
 def _removed(docs: DataFrame) -> DataFrame:

@@ -303,3 +303,27 @@ def test_passages_inside_sentences_go(spark, marks):
     got = {r.doc_id: set(r.text.split()) for r in spans.strip(spark.createDataFrame(rows, SCHEMA)).collect()}
     for i, p in enumerate(passages):
         assert set(p) <= got[2 * i] and sum(w not in got[2 * i + 1] for w in p) > len(p) / 2
+
+
+def test_spans_cover_all_repeated_runs(spark):
+    rng = random.Random(4)
+    pool = [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(rng.randint(1, 14))) + "." for _ in range(60)]
+    rows = []
+    for i in range(40):
+        at, n = rng.randrange(50), rng.randint(2, 10)
+        rows.append((i, " ".join([f"own{i} start.", *pool[at : at + n], f"own{i} end."]), "en", "s"))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    places, size = collections.defaultdict(list), {}
+    for d, t, *_ in rows:
+        w, _, begin = spans.sentences(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))
+        words = t.split()
+        edge = [*begin.tolist(), len(words)]
+        size[d] = len(begin)
+        for i, j in itertools.combinations(range(len(begin) + 1), 2):
+            if j - i >= spans.RUN and edge[j] - edge[i] >= spans.WORDS:
+                places[tuple(words[edge[i] : edge[j]])].append((d, i, j))
+    gone = collections.defaultdict(set)
+    for p in places.values():
+        for d, i, j in sorted(p)[1:]:
+            gone[d] |= set(range(i, j))
+    assert {r.doc_id: (r.n_sentences, r.n_removed) for r in spans.report(docs).collect()} == {d: (n, len(gone[d])) for d, n in size.items()}
