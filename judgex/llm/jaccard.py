@@ -309,7 +309,7 @@ def _rest(multi: DataFrame, roots: DataFrame, sigs: DataFrame, failed: DataFrame
 
 
 def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """Rows (doc_id, uid, n_shingles, component_id), one a document."""
+    """Rows (doc_id, uid, n_shingles, component_id, first_uid), one a document; first_uid is the text hash of the component's first document."""
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("uid"), "text")
     sized = cut(_sizes(docs, rule), "jaccard-sizes")
     real = docs.filter("uid is not null")
@@ -340,27 +340,27 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
             edges = edges.unionAll(extra)
             roots = components(edges)
     labelled = sized.select("doc_id", "uid", "n_shingles").join(roots.toDF("uid", "root"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
-    least = labelled.filter("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
-    out = labelled.join(least, "root", "left")
-    return out.select("doc_id", "uid", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    # null ids last: a struct's nulls sort first, so a flag goes before
+    seat = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "uid")
+    first = labelled.filter("n_shingles > 0").groupBy("root").agg(F.min(seat).alias("first")).select("root", F.col("first.doc_id").alias("least"), F.col("first.uid").alias("first_uid"))
+    out = labelled.join(first, "root", "left")
+    return out.select("doc_id", "uid", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "first_uid")
 
 
 def first_of_each(docs: DataFrame, rule: Rule) -> DataFrame:
-    """One document of each component, that with the least doc_id, with all its columns; empty ones all stay."""
-    rid = "__judgex_uid"
-    linked = link(docs, rule)
-    lost = linked.filter("n_shingles > 0 and component_id != doc_id or n_shingles > 0 and doc_id is null and component_id is not null").select("doc_id", F.col("uid").alias(rid)).distinct()
-    rows = docs.withColumn(rid, F.when(F.col("text").isNotNull(), F.xxhash64("text")))
-    lost = lost.select(F.col("doc_id").alias("__judgex_id"), F.col(rid).alias("__judgex_lost"))
-    kept = rows.join(lost, (rows[rid] == lost["__judgex_lost"]) & rows["doc_id"].eqNullSafe(lost["__judgex_id"]), "left_anti")
-    # rows of one doc_id and text (or of one component without ids) are told apart by nothing: one of them stays
-    again = linked.filter("n_shingles > 0 and component_id <=> doc_id").groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("uid"))).count().filter("count > 1")
-    if not again.isEmpty():
-        w = Window.partitionBy("doc_id").orderBy(rid)
-        full = kept.withColumn("__judgex_n", F.row_number().over(w))
-        wordless = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")) == 0
-        kept = full.filter((F.col("__judgex_n") == 1) | wordless | F.col("doc_id").isNull()).drop("__judgex_n")
-    return kept.select(*(kept[c] for c in docs.columns))
+    """One document of each component, that with the least doc_id (nulls last) and text hash, with all its columns; empty ones all stay."""
+    rid, rno, lost, what = "__judgex_uid", "__judgex_id", "__judgex_lost", "__judgex_what"
+    linked = link(docs, rule).filter("n_shingles > 0").withColumn("lost", ~((F.col("uid") == F.col("first_uid")) & F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    rows = docs.withColumn(rid, F.when(F.col("text").isNotNull(), F.xxhash64("text"))).withColumn(rno, docs["doc_id"].cast("long"))
+    # rows of one doc_id and text are told apart by nothing: one of them stays
+    again = linked.groupBy(F.col("doc_id").alias("i"), F.col("uid").alias("u")).agg(F.first("lost").alias(lost), F.count(F.lit(1)).alias("n")).filter(f"{lost} or n > 1")
+    again = cut(again.select("i", "u", F.when(F.col(lost), "lost").otherwise("one").alias(what)), "jaccard-lost")
+    marked = rows.join(again, (rows[rid] == again["u"]) & rows[rno].eqNullSafe(again["i"]), "left")
+    kept = marked.filter(F.col(what).isNull()).select(*(docs[c] for c in docs.columns))
+    if again.filter(F.col(what) == "one").isEmpty():
+        return kept
+    one = marked.filter(F.col(what) == "one").select(rno, rid, F.struct(*(docs[c] for c in docs.columns)).alias(what))
+    return kept.unionAll(one.groupBy(rno, rid).agg(F.first(what).alias(what)).select(f"{what}.*"))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

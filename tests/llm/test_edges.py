@@ -113,6 +113,16 @@ def test_jaccard(spark, docs, nothing):
     assert jaccard.link(nothing).count() == 0
 
 
+def test_jaccard_keeps_one_of_each_component(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = c.replace("c30", "other")
+    rows = [(7, a), (7, b), (8, a), (7, a), (None, c), (None, c), (None, near), (None, ""), (None, "")]
+    left = jaccard.first_of_each(spark.createDataFrame(rows, "doc_id long, text string"), jaccard.Rule()).collect()
+    assert sorted((r.doc_id, r.text) for r in left if r.doc_id) == [(7, a), (7, b)]
+    rest = [r.text for r in left if r.doc_id is None]
+    assert len(rest) == 3 and rest.count("") == 2 and {*rest} - {""} <= {c, near}
+
+
 def test_spans(spark, docs, nothing):
     got = spans.report(docs).collect()
     assert len(got) == len(DOCS) and sum(r.n_removed for r in got) > 0
