@@ -6,8 +6,9 @@ text (content) tells template from matter: a branch that shows nearly the same t
 importance, as has one whose text is mostly link text. A page's extraction walks its DOM and leaves out
 
 * elements that hold no text of their own to read (head, scripts, styles, forms, comments in markup ...),
-* branches whose tag, role, class or id says menu, header, footer, sidebar, notice, advert or reader comments (a fixed
-  list of words), and
+* branches whose tag, or a whole token of their role, class or id, says menu, header, footer, sidebar, notice, advert or
+  reader comments (a fixed list of words; has-sidebar is no such token), but for branches that such a token would drop though
+  they hold over half of the page's text outside links, or all of its article or main elements; and
 * branches whose style node has low importance.
 
 Only elements that group others are judged (div, section, table, list ...), never single paragraphs or headings, and only
@@ -134,18 +135,39 @@ def step(node: Node) -> str:
     return node.tag + "".join(sorted("." + re.sub(r"\d+", "#", m) for m in node.marks))
 
 
-def noisy(node: Node) -> bool:
+def worded(node: Node) -> bool:
+    """Whether a whole token of an element's class, id or role is a word of ``NOISE``."""
+    return bool(node.marks) and node.tag not in ("html", "body", "article", "main") and any(t in NOISE for m in node.marks for t in m.split("=", 1)[1].lower().split())
+
+
+def spared(dom: Node) -> frozenset[int]:
+    """ids of the elements that hold too much to be dropped by a word: most of the text outside links, or all articles (or mains)."""
+    order, todo, noise = [], [(dom, -1, False, False)], False
+    while todo:
+        x, up, linked, inside = todo.pop()
+        at, word = len(order), worded(x)
+        noise |= word
+        linked, inside = linked or x.tag == "a", inside or word
+        chars = 0 if linked else sum(len(" ".join(c.split())) for c in x.children if isinstance(c, str))
+        order.append([x, up, word, inside, chars, x.tag == "article", x.tag == "main"])
+        todo += [(c, at, linked, inside) for c in x.children if isinstance(c, Node) and c.tag not in SILENT]
+    if not noise:
+        return frozenset()
+    open_ = [any(o[k] and not o[3] for o in order) for k in (5, 6)]  # an article, a main that no word would drop
+    for o in reversed(order[1:]):
+        up = order[o[1]]
+        up[4] += o[4]
+        up[5] |= o[5]
+        up[6] |= o[6]
+    return frozenset(id(o[0]) for o in order if o[2] and (2 * o[4] > order[0][4] or not any(open_) and (o[5] or o[6])))
+
+
+def noisy(node: Node, spare: frozenset[int] = frozenset()) -> bool:
     """Whether a tag or its class, id or role says that it is no part of the article."""
-    if node.tag in SILENT:
-        return True
-    for m in node.marks:
-        for word in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", m.split("=", 1)[1]).lower()):
-            if word in NOISE and node.tag not in ("html", "body", "article", "main"):
-                return True
-    return False
+    return node.tag in SILENT or worded(node) and id(node) not in spare
 
 
-def roots(dom: Node) -> list[Node]:
+def roots(dom: Node, spare: frozenset[int] = frozenset()) -> list[Node]:
     """The outermost article elements, or else main elements, or else the document."""
     for name in ("article", "main"):
         found: list[Node] = []
@@ -154,9 +176,9 @@ def roots(dom: Node) -> list[Node]:
             x = todo.pop()
             for c in reversed(x.children):
                 if isinstance(c, Node):
-                    if c.tag == name and not noisy(c):
+                    if c.tag == name and not noisy(c, spare):
                         found.append(c)
-                    elif not noisy(c):
+                    elif not noisy(c, spare):
                         todo.append(c)
         if found:
             return found
@@ -178,11 +200,12 @@ def _own_text(node: Node) -> tuple[str, int]:
 
 def nodes(dom: Node) -> Iterator[tuple[str, str, str, int, int]]:
     """(style path, child tags, text, link characters, characters) of the grouping elements that could be left out."""
-    todo = [(r, "") for r in roots(dom)]
+    spare = spared(dom)
+    todo = [(r, "") for r in roots(dom, spare)]
     while todo:
         x, path = todo.pop()
         for c in x.children:
-            if isinstance(c, Node) and c.tag not in INLINE and not noisy(c):
+            if isinstance(c, Node) and c.tag not in INLINE and not noisy(c, spare):
                 own = f"{path}/{step(c)}"
                 if c.tag in GROUPS:
                     text, links = _own_text(c)
@@ -199,7 +222,8 @@ def main_text(dom: Node, low: frozenset[str] | set[str] = frozenset()) -> str:
             blocks.append(t)
         here.clear()
 
-    for root in roots(dom):
+    spare = spared(dom)
+    for root in roots(dom, spare):
         todo: list = [(root, "", False)]
         while todo:
             x, path, closing = todo.pop()
@@ -210,7 +234,7 @@ def main_text(dom: Node, low: frozenset[str] | set[str] = frozenset()) -> str:
             else:
                 if x is not root and x.tag not in INLINE:
                     path = f"{path}/{step(x)}"
-                if x is not root and (noisy(x) or path in low and x.tag in GROUPS):
+                if x is not root and (noisy(x, spare) or path in low and x.tag in GROUPS):
                     if x.tag not in INLINE:
                         end()
                     continue

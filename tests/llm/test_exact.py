@@ -327,3 +327,12 @@ def test_spans_cover_all_repeated_runs(spark):
         for d, i, j in sorted(p)[1:]:
             gone[d] |= set(range(i, j))
     assert {r.doc_id: (r.n_sentences, r.n_removed) for r in spans.report(docs).collect()} == {d: (n, len(gone[d])) for d, n in size.items()}
+
+
+@pytest.mark.parametrize("mark", ["layout has-sidebar", "with-header", "nav-open", "no-comments", "social-share-on", "page sidebar"])
+def test_wrappers_named_after_template_parts_stay(mark):
+    body = "<p>Body of the article, with words enough.</p><div class='menu'>Home</div><div class='x comments'>Reply</div>"
+    for inner in (f"<article>{body}</article>", f"<main>{body}</main>", body):
+        page = f"<body><div class='{mark}'>{inner}</div><div class='footer'>Rights</div></body>"
+        assert html.main_text(html.parse(page)) == "Body of the article, with words enough."
+    assert html.main_text(html.parse("<div class='comments'><article>c</article></div><article>longer text</article>")) == "longer text"
