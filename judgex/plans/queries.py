@@ -169,6 +169,21 @@ def cn_numerals(spark, sf):
     return c.select("k", amounts.numeral(sql("a")).cast("long").alias("small"), amounts.numeral(F.concat(sql("a"), F.lit("万"), sql("b"))).cast("long").alias("large"))
 
 
+def _zero_numeral_sql(n: str) -> str:
+    d = lambda x: f"substr('零一二三四五六七八九', CAST({x} AS INT) + 1, 1)"
+    h, t, o = f"{n} // 100 % 10", f"{n} // 10 % 10", f"{n} % 10"
+    hundreds = f"CASE WHEN {h} > 0 THEN concat({d(h)}, '百') WHEN {n} % 100 > 0 THEN '零' ELSE '' END"
+    tens = f"CASE WHEN {t} > 0 THEN concat({d(t)}, '十') WHEN {h} > 0 AND {o} > 0 THEN '零' ELSE '' END"
+    return f"concat({d(f'{n} // 1000')}, '千', {hundreds}, {tens}, CASE WHEN {o} = 0 THEN '' ELSE {d(o)} END)"
+
+
+@query("cn_numerals_all", "SELECT c_custkey AS k, c_custkey * 7 % 9000 + 1000 AS small, (c_custkey * 7 % 9000 + 1000) * 10000 + c_custkey * 3 % 9000 + 1000 AS large FROM customer")
+def cn_numerals_all(spark, sf):
+    c = _table(spark, sf, "customer").selectExpr("c_custkey AS k", "c_custkey * 7 % 9000 + 1000 AS a", "c_custkey * 3 % 9000 + 1000 AS b")
+    sql = lambda n: F.expr(_zero_numeral_sql(n).replace("//", "div"))
+    return c.select("k", amounts.numeral(sql("a")).cast("long").alias("small"), amounts.numeral(F.concat(sql("a"), F.lit("万"), sql("b"))).cast("long").alias("large"))
+
+
 @query("amount_crossfill", duck("SELECT _pos AS pos, a AS target_amount, CASE WHEN a = '' THEN 'unknown' ELSE k2 END AS amount_type, CASE WHEN a = '' THEN 'none' WHEN z = 'none' AND k2 = '交付金额' THEN 'Z4' WHEN z = 'none' AND k2 = '涉案金额' THEN 'Z3' ELSE z END AS source_zone FROM (SELECT *, CASE WHEN k = 'unknown' AND z = 'Z4' THEN '交付金额' WHEN k = 'unknown' AND z = 'Z3' THEN '涉案金额' ELSE k END AS k2 FROM (SELECT _pos, regexp_extract(target_amount, '[0-9]+([.][0-9]+)?') AS a, CASE amount_type WHEN 'payment' THEN '交付金额' ELSE amount_type END AS k, source_zone AS z FROM labels))", labels=LABELS))
 def amount_crossfill(spark, sf):
     r = amounts.filled_up(amounts.normalize("target_amount"), amounts.amount_type("amount_type"), amounts.source_zone("source_zone"))

@@ -38,3 +38,7 @@ def test_sample_does_not_depend_on_partitions(spark):
     a = [r.k for r in seeded_sample(df.repartition(3), 20, 7, "k").collect()]
     assert a == [r.k for r in seeded_sample(df.repartition(11), 20, 7, "k").collect()]
     assert a != [r.k for r in seeded_sample(df, 20, 8, "k").collect()]
+
+
+def test_numerals_of_all_customers(spark):
+    assert core.QUERIES["cn_numerals_all"](spark, SF).count() == spark.read.parquet(f"{SF}/customer.parquet").count()
