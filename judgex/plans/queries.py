@@ -507,6 +507,11 @@ def list_repr_query(spark, sf):
     return _table(spark, sf, "conversations").select("conv_id", "turn", list_repr(F.array(F.substring("text", 1, 40), F.lit("x"))).alias("r"))
 
 
+@query("list_repr_whole", ORACLES["list_repr"].replace("left(text, 40)", "text"))
+def list_repr_whole(spark, sf):
+    return _table(spark, sf, "conversations").select("conv_id", "turn", list_repr(F.array("text", F.lit("x"))).alias("r"))
+
+
 _STEM = "regexp_replace(string_split(path, '/')[-1], '[.][^.]+$', '')"
 _PAR = "string_split(path, '/')[-2]"
 

@@ -42,3 +42,8 @@ def test_sample_does_not_depend_on_partitions(spark):
 
 def test_numerals_of_all_customers(spark):
     assert core.QUERIES["cn_numerals_all"](spark, SF).count() == spark.read.parquet(f"{SF}/customer.parquet").count()
+
+
+def test_list_repr_of_whole_texts(spark):
+    texts = {(r.conv_id, r.turn): r.text for r in spark.read.parquet(f"{SF}/conversations.parquet").collect()}
+    assert {(r.conv_id, r.turn): r.r for r in core.QUERIES["list_repr_whole"](spark, SF).collect()} == {k: repr([t, "x"]) for k, t in texts.items()}
