@@ -41,7 +41,7 @@ RULES = (Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("
 SEEDS = tuple(
     "ads adserver adult bet bets betting casino cialis escort gambling jackpot lottery malware nude payday phishing pills poker porn porno replica roulette sex slots spam torrent viagra warez xxx".split()
 )
-BUCKETS, LONGEST = 1 << 16, 24
+BUCKETS = 1 << 16
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -76,12 +76,12 @@ def tokens_of(path: Column) -> Column:
     return F.regexp_extract_all(F.regexp_replace(F.translate(path, _UP, _LOW), "[0-9]+", "#"), F.lit("[a-z]+|#"), F.lit(0))
 
 
-def viterbi(name: str, counts: dict[str, int], total: int, longest: int = LONGEST) -> list[str]:
+def viterbi(name: str, counts: dict[str, int], total: int) -> list[str]:
     """The likeliest words that make up a name; unknown words of n letters have chance 10 / (total 10**n)."""
     best: list[tuple[float, int]] = [(0.0, 0)]
     for end in range(1, len(name) + 1):
         tries = []
-        for start in range(max(0, end - longest), end):
+        for start in range(end):
             word = name[start:end]
             c = counts.get(word)
             chance = math.log(c / total) if c else math.log(10 / total) - len(word) * math.log(10)
@@ -95,12 +95,13 @@ def viterbi(name: str, counts: dict[str, int], total: int, longest: int = LONGES
     return words[::-1]
 
 
-def _segmented(names: DataFrame, pages: DataFrame, seeds: Sequence[str], longest: int) -> DataFrame:
+def _segmented(names: DataFrame, pages: DataFrame, seeds: Sequence[str]) -> DataFrame:
     """Rows (name, words) for distinct names; counts are those of words in the text of all pages."""
     text = F.regexp_replace(F.lower(F.coalesce("html", F.lit(""))), r"<[^>]*>", " ")
     words = pages.select(F.explode(F.regexp_extract_all(text, F.lit("[a-z]+"), F.lit(0))).alias("word"))
-    counts = cut(words.filter(F.length("word") <= longest).groupBy("word").count(), "url-words")
-    total = max(1, counts.agg(F.sum("count")).first()[0] or 0)
+    counts = cut(words.groupBy("word").count(), "url-words")
+    total, longest = counts.agg(F.sum("count"), F.max(F.length("word"))).first()
+    total, longest = max(1, total or 0), longest or 1  # no longer piece of a name can be known
     ends = lambda i: F.sequence(F.lit(1), F.least(F.lit(longest), F.length("name") - i))
     subs = F.flatten(F.transform(F.sequence(F.lit(0), F.length("name") - 1), lambda i: F.transform(ends(i), lambda n: F.substring(F.col("name"), i + 1, n))))
     found = names.select("name", F.explode(F.array_distinct(subs)).alias("word")).join(counts, "word")
@@ -112,7 +113,7 @@ def _segmented(names: DataFrame, pages: DataFrame, seeds: Sequence[str], longest
         for name, c in zip(b.column("name").to_pylist(), b.column("counts").to_pylist()):
             have = dict(c or ())
             have |= {w: max(floor, have.get(w, 0)) for w in seeds if w in name}
-            out.append(viterbi(name, have, total, longest))
+            out.append(viterbi(name, have, total))
         yield table(name=b.column("name"), words=pa.array(out, pa.list_(pa.string())))
 
     return over(known, f, "name string, words array<string>")
@@ -122,12 +123,12 @@ def _bucket(token: Column) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(BUCKETS)).cast("int")
 
 
-def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, seeds: Sequence[str] = SEEDS, longest: int = LONGEST) -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, seeds: Sequence[str] = SEEDS) -> DataFrame:
     """Rows (page_id, host, path, rule, verdict, words, log_odds); odds are those of class block."""
     urls = cut(with_parts(pages), "url-parts")
     hosts = cut(urls.groupBy("host").agg(F.count(F.lit(1)).alias("urls")).withColumn("names", names_of(F.col("host"))), "url-hosts")
     names = cut(hosts.select(F.explode("names").alias("name")).distinct(), "url-names")
-    split = cut(_segmented(names, pages, seeds, longest), "url-split")
+    split = cut(_segmented(names, pages, seeds), "url-split")
     placed = hosts.select("host", F.posexplode("names").alias("i", "name")).join(split, "name")
     words = placed.groupBy("host").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("i", "words"))), lambda x: x["words"])).alias("words"))
     none = F.array().cast("array<string>")

@@ -336,3 +336,10 @@ def test_wrappers_named_after_template_parts_stay(mark):
         page = f"<body><div class='{mark}'>{inner}</div><div class='footer'>Rights</div></body>"
         assert html.main_text(html.parse(page)) == "Body of the article, with words enough."
     assert html.main_text(html.parse("<div class='comments'><article>c</article></div><article>longer text</article>")) == "longer text"
+
+
+def test_long_words_of_hosts_are_found(spark):
+    word = "donaudampfschifffahrtsgesellschaft"
+    page = f"<p>{word} {word} free " * 3
+    r = urls.judge(spark.createDataFrame([(1, f"http://free{word}.org/", page)], "page_id long, url string, html string")).first()
+    assert r.words == ["free", word] and urls.viterbi("z" * 40, {"a": 1}, 100) == ["z" * 40]
