@@ -7,12 +7,14 @@ the parts' values are the join keys. As a bit sketch (one bit a shingle, XOR-ed)
 difference from below by the Hamming distance, which rejects candidates before texts are fetched.
 
 Size bands: band b holds sizes from r**b to r**(b + 1), r = 1/t, so similar sets are in one band or in neighbours. Join
-band j joins sets of bands j and j + 1; its m and d come from its largest sizes. Parts with fewer than ``WEAK[t]``
-shingles say little and would gather strangers. A set whose weak parts number less than m - d leaves them out (some other
-part must then agree, and is as strong in the other set); any other set also gives its weak parts.
+band j joins sets of bands j and j + 1; its m and d come from its largest sizes. A set gives only its d + 1 heaviest
+parts (most shingles, ties by key): of the m - d parts that agree in a similar pair, the heaviest has m - d - 1 lighter
+ones below it in both sets, so both give it. Light parts, which say little and would gather strangers, are left out.
 
 Candidates are not all pairs of a bucket. First, neighbours in the order of each bucket are verified and linked.
-Then only buckets that still hold several components are searched, members in blocks of ``BLOCK``: a task compares the bit
+Then only buckets that still hold several components are searched, and of buckets with the same members only one. Members of a
+bucket's largest component need no comparison with each other: the others go in blocks of ``BLOCK``, and meet each other and
+blocks of the largest one, so a bucket costs its size times the share that is not settled yet. A task compares the bit
 sketches of two blocks and passes on pairs within the bound, no more than would connect the bucket's components. They are
 verified; rounds go on, leaving out pairs that were verified in vain and passing on twice as many, until no bucket has a
 pair left, which takes about log2 of the largest bucket's size. So no link that
@@ -41,7 +43,7 @@ from judgex.llm.arrow import batched, over, table
 from judgex.llm.components import components
 from judgex.session import cut
 
-BLOCK = 1000
+BLOCK = 4000
 _U = np.uint64
 
 
@@ -51,10 +53,6 @@ class Rule(NamedTuple):
     k: int = 3
     percent: int = 90
 
-    @property
-    def weak(self) -> int:
-        return 3 if self.percent >= 88 else 2
-
     def band(self, n: int) -> int:
         """The b with r**b <= n < r**(b + 1), r = 100 / percent."""
         r = math.log(100 / self.percent)
@@ -78,7 +76,7 @@ class Rule(NamedTuple):
         return d + 1 + (d + 1) // 2
 
     def bits(self, j: int) -> int:
-        return max(256, 1 << (8 * self.bound(j)).bit_length())
+        return max(256, -(-8 * self.bound(j) // 64) * 64)
 
 
 def part_keys(u: np.ndarray, rule: Rule, j: int) -> np.ndarray:
@@ -91,13 +89,9 @@ def part_keys(u: np.ndarray, rule: Rule, j: int) -> np.ndarray:
     value = np.zeros(m, np.uint64)
     full = np.flatnonzero(count)
     value[full] = np.bitwise_xor.reduceat(v, np.concatenate(([0], np.cumsum(count[full])[:-1])))
-    weak = count < rule.weak
-    if weak.sum() < m - d:
-        use = np.flatnonzero(~weak)
-    else:
-        use = np.arange(m)
     tag = _U(K.mix1(0x1234567 + j * 0x9E3779B1))
-    return K.mix(value[use] + (use.astype(np.uint64) + _U(1)) * _U(0xC2B2AE3D27D4EB4F) + tag)
+    keys = K.mix(value + (np.arange(m, dtype=np.uint64) + _U(1)) * _U(0xC2B2AE3D27D4EB4F) + tag)
+    return keys[np.lexsort((keys, count))[m - d - 1 :]]
 
 
 def bit_sketch(u: np.ndarray, bits: int) -> bytes:
@@ -273,23 +267,34 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _rest(multi: DataFrame, roots: DataFrame, sigs: DataFrame, failed: DataFrame | None, rule: Rule, width: int) -> DataFrame:
-    """Rows (key, a, b): pairs to verify, of buckets that still hold several components."""
-    with_root = multi.select("key", "band", "uid").distinct().join(roots.toDF("uid", "root"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
-    mixed = with_root.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("m > 2 and r0 != r1").select("key", "m")
-    rows = with_root.join(mixed, "key")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows (key, band, uid, root, m, top, tops) of buckets that hold several components, one bucket of each set of members.
+
+    m is the bucket's size, ``top`` its largest component and ``tops`` the members in it.
+    """
+    rooted = members.join(roots.toDF("uid", "root"), "uid", "left").select("key", "band", "uid", F.coalesce("root", "uid").alias("root")).repartition("key")
+    own = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("uid")).alias("h"), F.bit_xor(F.xxhash64("uid", F.lit(1))).alias("g"))
+    all_ = own.groupBy("key").agg(F.sum("n").alias("m"), F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).alias("t"), F.bit_xor("h").alias("h"), F.bit_xor("g").alias("g"))
+    open_ = all_.filter("m > 2 and roots > 1").groupBy("m", "h", "g").agg(F.min(F.struct("key", "t")).alias("b"))
+    open_ = open_.select("b.key", "m", F.col("b.t.root").alias("top"), F.col("b.t.n").alias("tops"))
+    return rooted.join(open_, "key")
+
+
+def _rest(mixed: DataFrame, sigs: DataFrame, failed: DataFrame, rule: Rule, width: int) -> DataFrame:
+    """Rows (key, a, b): pairs to verify, of the buckets of ``_mixed``."""
+    whole = F.col("m") <= BLOCK
+    few = F.when(whole, 1).otherwise(F.ceil((F.col("m") - F.col("tops")) / BLOCK)).cast("int")  # blocks of the other components come first
+    many = F.when(whole, 0).otherwise(F.ceil(F.col("tops") / BLOCK)).cast("int")
+    rows = mixed.withColumn("few", few).withColumn("many", many).withColumn("large", ~whole & (F.col("root") == F.col("top")))
+    spot = lambda n: F.pmod(F.xxhash64("uid"), n).cast("int")
+    rows = rows.withColumn("block", F.when(F.col("large"), F.col("few") + spot(F.greatest("many", F.lit(1)))).otherwise(spot(F.col("few"))))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("few") - 1 + F.when(F.col("large"), 0).otherwise(F.col("many")))))
     rows = rows.select("key", "band", "uid", "root", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
     sketch = F.when(F.col("band") == F.col("own"), F.col("high")).otherwise(F.col("low"))
     rows = rows.join(sigs.select("uid", "n_shingles", "own", "low", "high"), "uid").withColumn("sketch", sketch).drop("low", "high", "own", "band")
-    bad = F.lit(None).cast("array<long>")
-    if failed is not None:
-        both = failed.unionAll(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        rows = rows.join(both.groupBy(F.col("a").alias("uid")).agg(F.collect_set("b").alias("bad")), "uid", "left")
-        bad = F.col("bad")
-    rows = rows.select("key", "x", "y", "uid", "root", "block", "n_shingles", "sketch", bad.alias("bad"))
+    both = failed.unionAll(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    rows = rows.join(both.groupBy(F.col("a").alias("uid")).agg(F.collect_set("b").alias("bad")), "uid", "left")
+    rows = rows.select("key", "x", "y", "uid", "root", "block", "n_shingles", "sketch", "bad")
     percent = rule.percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,8 +320,8 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     real = docs.filter("uid is not null")
     keys = _keys(real, rule)
     w = Window.partitionBy("key").orderBy("uid")
-    keys = keys.withColumn("prev", F.lag("uid").over(w)).withColumn("next", F.lead("uid").over(w))
-    multi = cut(keys.filter("prev != uid or next != uid").select("key", "band", "uid", F.when(F.col("prev") != F.col("uid"), F.col("prev")).alias("prev")), "jaccard-buckets")
+    keys = keys.withColumn("prev", F.lag("uid").over(w)).filter("prev is null or prev != uid").withColumn("next", F.lead("uid").over(w))
+    multi = cut(keys.filter("prev is not null or next is not null").select("key", "band", "uid", "prev"), "jaccard-buckets")
     alike = multi.select("uid").distinct()
     sigs = cut(sized.join(alike, "uid", "left_semi").groupBy("uid").agg(F.first("n_shingles").alias("n_shingles"), F.first("own").alias("own"), F.first("low").alias("low"), F.first("high").alias("high")), "jaccard-sketches")
     near = cut(_filtered(multi.filter("prev is not null").select(F.col("prev").alias("a"), F.col("uid").alias("b"), "band").distinct(), sigs, rule), "jaccard-pairs")
@@ -324,18 +329,20 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     texts_of = lambda p, name: cut(real.select("uid", "text").join(ends(p), "uid", "left_semi").groupBy("uid").agg(F.first("text").alias("text")), name)
     edges = cut(_verified(near, texts_of(near, "jaccard-texts"), rule), "jaccard-edges")
     roots = components(edges)
-    failed, width = None, 1
+    members = multi.select("key", "band", "uid")
+    failed, width = cut(near.join(edges, ["a", "b"], "left_anti"), "jaccard-failed"), 1
     while True:  # each round links components or learns of pairs that don't link
-        passed = cut(_rest(multi, roots, sigs, failed, rule, width), "jaccard-rest")
+        mixed = cut(_mixed(members, roots), "jaccard-mixed")
+        passed = cut(_rest(mixed, sigs, failed, rule, width), "jaccard-rest")
         if passed.isEmpty():
             break
         # a bucket without a pair left never has one again
-        multi = cut(multi.join(passed.select("key").distinct(), "key", "left_semi"), "jaccard-open")
+        members = mixed.select("key", "band", "uid").join(passed.select("key").distinct(), "key", "left_semi")
         width *= 2
         more = passed.select("a", "b").distinct()
         extra = cut(_verified(more, texts_of(more, "jaccard-more-texts"), rule), "jaccard-more-edges")
         missed = more.join(extra, ["a", "b"], "left_anti")
-        failed = cut(missed if failed is None else failed.unionAll(missed), "jaccard-failed")
+        failed = failed.unionAll(cut(missed, "jaccard-failed"))
         if not extra.isEmpty():
             edges = edges.unionAll(extra)
             roots = components(edges)
