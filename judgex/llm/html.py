@@ -5,8 +5,8 @@ and ids (digits blotted out). Over the host's distinct pages, the entropy of a n
 text (content) tells template from matter: a branch that shows nearly the same thing on page after page has low
 importance, as has one whose text is mostly link text. A page's extraction walks its DOM and leaves out
 
-* elements that hold no text of their own to read (head, scripts, styles, forms, comments in markup ...),
-* branches whose tag, or a whole token of their role, class or id, says menu, header, footer, sidebar, notice, advert or
+* elements that hold no text of their own to read (head, scripts, styles, controls, comments in markup ...),
+* forms, headers of the body outside articles, mains and sections (fragments without a body have none), and branches whose tag, or a whole token of their role, class or id, says menu, header, footer, sidebar, notice, advert or
   reader comments (a fixed list of words; has-sidebar is no such token), but for branches that such a token would drop though
   they hold over half of the page's text outside links, or all of its article or main elements; and
 * branches whose style node has low importance.
@@ -45,9 +45,11 @@ FEW = 20_000
 #: Element names, by how they are treated.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
-SILENT = frozenset("head script style noscript template iframe object svg math canvas audio video form button select option textarea input nav footer aside dialog menu title noembed noframes".split())
+SILENT = frozenset("head script style noscript template iframe object svg math canvas audio video button select option textarea input nav footer aside dialog menu title noembed noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 GROUPS = frozenset("div section ul ol dl table header figure center details fieldset blockquote".split())
+SECTIONS = frozenset("article main section".split())
+HEADINGS = frozenset("p h1 h2 h3 h4 h5 h6".split())
 #: Words in a tag's class, id or role that mark what is no part of the article.
 NOISE = frozenset(
     "ad ads advert advertisement adverts banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget "
@@ -120,6 +122,8 @@ def parse(text: str) -> Node:
         marks: tuple[str, ...] = ()
         if len(tok) > len(name) + 2:
             marks = tuple(f"{k.lower()}={a or b or c}" for k, a, b, c in _ATTR.findall(tok))
+        if name == "header" and not any(x.tag in SECTIONS for x in stack) and any(x.tag in ("html", "body") for x in stack):
+            marks += ("role=banner",)  # what the element means in a body
         node = Node(name, marks, [])
         stack[-1].children.append(node)
         if name in VOID or tok.endswith("/>") and name not in RAW and name not in INLINE | GROUPS | _P_STOP:
@@ -136,21 +140,28 @@ def step(node: Node) -> str:
 
 
 def worded(node: Node) -> bool:
-    """Whether a whole token of an element's class, id or role is a word of ``NOISE``."""
-    return bool(node.marks) and node.tag not in ("html", "body", "article", "main") and any(t in NOISE for m in node.marks for t in m.split("=", 1)[1].lower().split())
+    """Whether an element is a form, or a whole token of its class, id or role is a word of ``NOISE``; a heading may be called header."""
+    if node.tag == "form":
+        return True
+    if not node.marks or node.tag in ("html", "body", "article", "main"):
+        return False
+    return any(t in NOISE and not (t == "header" and node.tag in HEADINGS) for m in node.marks for t in m.split("=", 1)[1].lower().split())
 
 
 def spared(dom: Node) -> frozenset[int]:
-    """ids of the elements that hold too much to be dropped by a word: most of the text outside links, or all articles (or mains)."""
-    order, todo, noise = [], [(dom, -1, False, False)], False
+    """ids of the elements that hold too much to be dropped by a word: most of the text outside links, or all articles (or mains).
+
+    Forms count only the text of paragraphs and headings, so a page that is one form of labels stays empty.
+    """
+    order, todo, noise = [], [(dom, -1, False, False, False)], False
     while todo:
-        x, up, linked, inside = todo.pop()
+        x, up, linked, inside, told = todo.pop()
         at, word = len(order), worded(x)
         noise |= word
-        linked, inside = linked or x.tag == "a", inside or word
+        linked, inside, told = linked or x.tag == "a", inside or word, told or x.tag in HEADINGS
         chars = 0 if linked else sum(len(" ".join(c.split())) for c in x.children if isinstance(c, str))
-        order.append([x, up, word, inside, chars, x.tag == "article", x.tag == "main"])
-        todo += [(c, at, linked, inside) for c in x.children if isinstance(c, Node) and c.tag not in SILENT]
+        order.append([x, up, word, inside, chars, x.tag == "article", x.tag == "main", chars if told else 0])
+        todo += [(c, at, linked, inside, told) for c in x.children if isinstance(c, Node) and c.tag not in SILENT]
     if not noise:
         return frozenset()
     open_ = [any(o[k] and not o[3] for o in order) for k in (5, 6)]  # an article, a main that no word would drop
@@ -159,7 +170,8 @@ def spared(dom: Node) -> frozenset[int]:
         up[4] += o[4]
         up[5] |= o[5]
         up[6] |= o[6]
-    return frozenset(id(o[0]) for o in order if o[2] and (2 * o[4] > order[0][4] or not any(open_) and (o[5] or o[6])))
+        up[7] += o[7]
+    return frozenset(id(o[0]) for o in order if o[2] and (2 * o[7 if o[0].tag == "form" else 4] > order[0][4] or not any(open_) and (o[5] or o[6])))
 
 
 def noisy(node: Node, spare: frozenset[int] = frozenset()) -> bool:
@@ -172,14 +184,12 @@ def roots(dom: Node, spare: frozenset[int] = frozenset()) -> list[Node]:
     for name in ("article", "main"):
         found: list[Node] = []
         todo = [dom]
-        while todo:
+        while todo:  # in page order
             x = todo.pop()
-            for c in reversed(x.children):
-                if isinstance(c, Node):
-                    if c.tag == name and not noisy(c, spare):
-                        found.append(c)
-                    elif not noisy(c, spare):
-                        todo.append(c)
+            if x.tag == name:
+                found.append(x)
+            else:
+                todo += [c for c in reversed(x.children) if isinstance(c, Node) and not noisy(c, spare)]
         if found:
             return found
     return [dom]

@@ -343,3 +343,21 @@ def test_long_words_of_hosts_are_found(spark):
     page = f"<p>{word} {word} free " * 3
     r = urls.judge(spark.createDataFrame([(1, f"http://free{word}.org/", page)], "page_id long, url string, html string")).first()
     assert r.words == ["free", word] and urls.viterbi("z" * 40, {"a": 1}, 100) == ["z" * 40]
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<body><div><article>a</article><article>b</article></div><article>c", "a\nb\nc"),
+        ("<body><header>Site</header><div><p>one two</div>", "one two"),
+        ("<body><article><header><h1>T</h1></header><p>x</article>", "T\nx"),
+        ("<body><section><header>T</header><p>x</section>", "T\nx"),
+        ("<body><form><h1>T</h1><p>long enough text<p>more<input></form>", "T\nlong enough text\nmore"),
+        ("<body><form><article>x</article></form>", "x"),
+        ("<body><form><label>Name</label><button>go</button></form>", ""),
+        ("<body><p>some text here</p><form><p>search</form>", "some text here"),
+        ("<body><article><p class=header>h</p><p>x</article>", "h\nx"),
+    ],
+)
+def test_page_furniture(source, text):
+    assert html.main_text(html.parse(source)) == text
