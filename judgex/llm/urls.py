@@ -4,7 +4,7 @@ Names in hosts run words together. A name is split by the most likely sequence o
 the words of all pages. Counts are looked up by join, a name's substrings against the corpus counts, so no
 dictionary is cut off or broadcast. A multinomial naive Bayes model then scores the host's words and the
 path's tokens. Its classes come by distant supervision: a url is an example of class block where a word of its host is in
-``SEEDS``, of class allow elsewhere. Tokens are counted over all urls, in ``BUCKETS`` hash buckets, which bounds the model.
+``SEEDS``, of class allow elsewhere; pseudo-counts follow the tokens' use in both classes together. Tokens are counted over all urls, in ``BUCKETS`` hash buckets, which bounds the model.
 
 Defined results: null urls and those without :// have empty host and path, fit no rule, and get the verdict of an
 empty token list (the more frequent class, allow on ties and for an empty table); repeated rows are judged one by one;
@@ -41,6 +41,8 @@ RULES = (Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("
 SEEDS = tuple(
     "ads adserver adult bet bets betting casino cialis escort gambling jackpot lottery malware nude payday phishing pills poker porn porno replica roulette sex slots spam torrent viagra warez xxx".split()
 )
+#: Shorter seeds stand by chance in longer names (essex, alphabet); they are only found as whole names or as the corpus knows them.
+SURE = 4
 BUCKETS = 1 << 16
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -112,7 +114,7 @@ def _segmented(names: DataFrame, pages: DataFrame, seeds: Sequence[str]) -> Data
         floor = max(1, total // 100_000)  # seed words count as moderately frequent, though the corpus lacks them
         for name, c in zip(b.column("name").to_pylist(), b.column("counts").to_pylist()):
             have = dict(c or ())
-            have |= {w: max(floor, have.get(w, 0)) for w in seeds if w in name}
+            have |= {w: max(floor, have.get(w, 0)) for w in seeds if len(w) >= SURE and w in name}
             out.append(viterbi(name, have, total))
         yield table(name=b.column("name"), words=pa.array(out, pa.list_(pa.string())))
 
@@ -123,6 +125,19 @@ def _bucket(token: Column) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(BUCKETS)).cast("int")
 
 
+def token_weights(seen: np.ndarray) -> np.ndarray:
+    """Log odds of class 1 of every token, from counts by class and token; tokens that don't occur say nothing.
+
+    Classes are smoothed by pseudo-counts dealt as both classes together use the tokens, so a rare
+    token leans to the class it was seen in, however unequal the classes are.
+    """
+    both = seen.sum(0)
+    used = both > 0
+    extra = used.sum() * both / max(1.0, both.sum())
+    chance = (seen + extra) / np.maximum(1.0, (seen + extra).sum(1, keepdims=True))
+    return np.where(used, np.log(np.where(used, chance[1], 1.0) / np.where(used, chance[0], 1.0)), 0.0)
+
+
 def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, seeds: Sequence[str] = SEEDS) -> DataFrame:
     """Rows (page_id, host, path, rule, verdict, words, log_odds); odds are those of class block."""
     urls = cut(with_parts(pages), "url-parts")
@@ -145,9 +160,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, seeds: Sequence[str]
     prior = np.array([1.0, 1.0])
     for block, n in hosts.groupBy("block").agg(F.sum("urls")).collect():
         prior[int(block)] += n
-    used = seen.sum(0) > 0  # one more of every token that occurs; others say nothing
-    chance = (seen + 1) / (seen.sum(1, keepdims=True) + max(1, used.sum()))
-    weight = np.where(used, np.log(chance[1] / chance[0]), 0.0)
+    weight = token_weights(seen)
     base = float(np.log(prior[1] / prior[0]))
     shared = pages.sparkSession.sparkContext.broadcast(weight)
 

@@ -361,3 +361,21 @@ def test_long_words_of_hosts_are_found(spark):
 )
 def test_page_furniture(source, text):
     assert html.main_text(html.parse(source)) == text
+
+
+def test_rare_clean_hosts_are_allowed(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html")
+    clean = ["downloads.org", "beethoven.org", "alphabet.org", "www.essex.gov.uk", "news.gardening.org", "www.universityoftoronto.org", "physics.org"]
+    spam = ["bestcasino.org", "cheap-pills.org"]
+    more = spark.createDataFrame([(-1 - i, f"https://{h}/about", "<p>x") for i, h in enumerate(clean + spam)], pages.schema)
+    got = {r.host: r.verdict for r in urls.judge(pages.unionAll(more)).filter("page_id < 0").collect()}
+    assert got == {h: "allow" for h in clean} | {h: "block" for h in spam}
+
+
+def test_token_weights_by_hand():
+    seen = np.array([[90.0, 9, 1, 0, 0], [5, 0, 0, 5, 0]])
+    p, v, n = seen.sum(0) / seen.sum(), 4, seen.sum(1)
+    want = [math.log((seen[1, k] + v * p[k]) / (n[1] + v)) - math.log((seen[0, k] + v * p[k]) / (n[0] + v)) for k in range(4)]
+    got = urls.token_weights(seen)
+    assert np.allclose(got, [*want, 0]) and got[2] < 0 < got[3]
+    assert not urls.token_weights(np.zeros((2, 3))).any()
