@@ -84,11 +84,13 @@ def list_repr(c: Column | str) -> Column:
 
 def matches(text: Column, pattern: str) -> Column:
     """All matches as array<struct<start, text>>; starts are 0-based code points (Spark's regexp_instr counts UTF-16)."""
-    total = lambda a: F.aggregate(a, F.lit(0), lambda s, x: s + F.length(x))
 
     def of(p: Column) -> Column:
-        start = lambda i: total(F.slice(p["gaps"], F.lit(1), i + 1)) + total(F.slice(p["found"], F.lit(1), i))
-        return F.transform(p["found"], lambda m, i: F.struct(start(i).alias("start"), m.alias("text")))
+        n = F.size(p["found"])
+        long = F.zip_with(F.slice(p["gaps"], F.lit(1), n), p["found"], lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("own")))
+        state = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        step = lambda s, x: F.struct((s["at"] + x["gap"] + x["own"]).alias("at"), F.concat(s["starts"], F.array(s["at"] + x["gap"])).alias("starts"))
+        return F.zip_with(F.aggregate(long, state, step, lambda s: s["starts"]), p["found"], lambda at, m: F.struct(at.alias("start"), m.alias("text")))
 
     return let(F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps")), of)
 
