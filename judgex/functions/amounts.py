@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -78,10 +79,13 @@ def plain(d: Column) -> Column:
 
 def yuan(value: Column, unit: Column) -> Column:
     """A number (digits or numerals) of units, in yuan; "" where it is none."""
-    worth = F.coalesce(*(F.when(unit == u, F.lit(n)) for u, n in UNITS.items())).cast("decimal(9,0)")
-    v = F.replace(value, F.lit(","), F.lit(""))
-    number = F.when(v.rlike(rf"\A{_ASCII}\z"), v.try_cast("decimal(28,10)")).otherwise(numeral(v).cast("decimal(28,0)"))
-    return F.coalesce(plain((number.cast("decimal(28,10)") * worth).cast(_SCALE)), F.lit(""))
+
+    def of(v: Column, u: Column) -> Column:
+        worth = F.element_at(F.create_map(*(F.lit(x) for x in itertools.chain(*UNITS.items()))), u).cast("decimal(9,0)")
+        number = F.when(v.rlike(rf"\A{_ASCII}\z"), v.try_cast("decimal(28,10)")).otherwise(numeral(v).cast("decimal(28,0)"))
+        return F.coalesce(plain((number.cast("decimal(28,10)") * worth).cast(_SCALE)), F.lit(""))
+
+    return let(F.replace(value, F.lit(","), F.lit("")), lambda v: let(unit, lambda u: of(v, u)))
 
 
 def normalize(raw: Column | str) -> Column:
