@@ -61,14 +61,18 @@ def salvaged_keys(text: Column | str) -> Column:
     return F.regexp_extract_all(text if isinstance(text, Column) else F.col(text), F.lit(r'"case_no"\s*:\s*"([^"]+)"'), F.lit(1))
 
 
-def upsert(existing: DataFrame, new: DataFrame, kind: str = "file_case") -> DataFrame:
-    """Existing rows, and new ones with unseen keys, the first of each key."""
+def unseen(existing: DataFrame, new: DataFrame, kind: str = "file_case") -> DataFrame:
+    """Rows of ``new`` whose keys ``existing`` lacks, the first of each key."""
     fresh = new.withColumn("_key", resume_key(kind))
     old = existing.select(resume_key(kind).alias("_key")).distinct()
     fresh = fresh.join(old, "_key", "left_anti")
     w = Window.partitionBy("_key").orderBy(*_order()) if {FILE, POS} <= set(new.columns) else Window.partitionBy("_key").orderBy(*new.columns)
-    fresh = fresh.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank", "_key")
-    return existing.unionByName(fresh, allowMissingColumns=True)
+    return fresh.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank", "_key")
+
+
+def upsert(existing: DataFrame, new: DataFrame, kind: str = "file_case") -> DataFrame:
+    """Existing rows, and new ones with unseen keys, the first of each key."""
+    return existing.unionByName(unseen(existing, new, kind), allowMissingColumns=True)
 
 
 def take(df: DataFrame, n: int) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from judgex.functions import prompts
-from judgex.operators.resume import upsert
+from judgex.operators.resume import unseen
 
 
 def json_by_month(df: DataFrame, path: str, overwrite: bool = False) -> None:
@@ -53,7 +53,7 @@ def audits(gated_rows: DataFrame, path: str) -> None:
 
 def merge(existing: DataFrame, new: DataFrame, path: str, kind: str = "file_case") -> None:
     """Append the rows of ``new`` whose keys ``existing`` (read from ``path``) lacks."""
-    upsert(existing, new, kind).join(existing, list(existing.columns), "left_anti").write.mode("append").json(path)
+    unseen(existing, new, kind).write.mode("append").json(path)
 
 
 def run_summary(df: DataFrame, **arguments: object) -> DataFrame:

@@ -130,3 +130,14 @@ def test_streaming_annotates_each_file_once(spark, tmp_path):
         q = annotate_new_files(spark, str(src), str(tmp_path / "out"), str(tmp_path / "cp"))
         q.awaitTermination()
         assert spark.read.parquet(str(tmp_path / "out")).count() == i + 1
+
+
+def test_merge_twice_adds_nothing(spark, tmp_path):
+    schema = "source_file string, case_no string, note string"
+    path = str(tmp_path / "merged")
+    spark.createDataFrame([("f", "1", None), ("f", "2", "x")], schema).write.json(path)
+    new = spark.createDataFrame([("f", "1", "later"), ("f", "3", None), ("f", "3", "y")], schema)
+    for _ in range(2):
+        sinks.merge(spark.read.schema(schema).json(path), new, path)
+        got = spark.read.schema(schema).json(path)
+        assert sorted((r.case_no, r.note) for r in got.select("case_no", "note").fillna("-").collect()) == [("1", "-"), ("2", "x"), ("3", "-")]
