@@ -85,7 +85,8 @@ def yuan(value: Column, unit: Column) -> Column:
         number = F.when(v.rlike(rf"\A{_ASCII}\z"), v.try_cast("decimal(28,10)")).otherwise(numeral(v).cast("decimal(28,0)"))
         return F.coalesce(plain((number.cast("decimal(28,10)") * worth).cast(_SCALE)), F.lit(""))
 
-    return let(F.replace(value, F.lit(","), F.lit("")), lambda v: let(unit, lambda u: of(v, u)))
+    # one struct: either may come from a Python function, which no lambda may hold
+    return let(F.struct(F.replace(value, F.lit(","), F.lit("")).alias("v"), unit.alias("u")), lambda p: of(p["v"], p["u"]))
 
 
 def normalize(raw: Column | str) -> Column:
