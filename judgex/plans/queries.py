@@ -157,19 +157,6 @@ def amount_normalize_local(spark, sf):
 
 
 def _numeral_sql(n: str) -> str:
-    d = lambda x: f"substr('零一二三四五六七八九', CAST({x} AS INT) + 1, 1)"
-    return f"concat({d(f'{n} // 1000')}, '千', {d(f'{n} // 100 % 10')}, '百', {d(f'{n} // 10 % 10')}, '十', CASE WHEN {n} % 10 = 0 THEN '' ELSE {d(f'{n} % 10')} END)"
-
-
-@query("cn_numerals", "SELECT c_custkey AS k, n % 9000 + 1000 AS small, (n % 9000 + 1000) * 10000 + m AS large FROM (SELECT c_custkey, c_custkey * 7 AS n, c_custkey * 3 % 9000 + 1000 AS m FROM customer) WHERE (n % 9000 + 1000) // 100 % 10 > 0 AND (n % 9000 + 1000) // 10 % 10 > 0 AND m // 100 % 10 > 0 AND m // 10 % 10 > 0")
-def cn_numerals(spark, sf):
-    c = _table(spark, sf, "customer").selectExpr("c_custkey AS k", "c_custkey * 7 % 9000 + 1000 AS a", "c_custkey * 3 % 9000 + 1000 AS b")
-    c = c.filter("a div 100 % 10 > 0 and a div 10 % 10 > 0 and b div 100 % 10 > 0 and b div 10 % 10 > 0")
-    sql = lambda n: F.expr(_numeral_sql(n).replace("//", "div"))
-    return c.select("k", amounts.numeral(sql("a")).cast("long").alias("small"), amounts.numeral(F.concat(sql("a"), F.lit("万"), sql("b"))).cast("long").alias("large"))
-
-
-def _zero_numeral_sql(n: str) -> str:
     d = lambda x: f"substr('零一二三四五六七八九', CAST({x} AS INT) + 1, 1)"
     h, t, o = f"{n} // 100 % 10", f"{n} // 10 % 10", f"{n} % 10"
     hundreds = f"CASE WHEN {h} > 0 THEN concat({d(h)}, '百') WHEN {n} % 100 > 0 THEN '零' ELSE '' END"
@@ -180,7 +167,7 @@ def _zero_numeral_sql(n: str) -> str:
 @query("cn_numerals_all", "SELECT c_custkey AS k, c_custkey * 7 % 9000 + 1000 AS small, (c_custkey * 7 % 9000 + 1000) * 10000 + c_custkey * 3 % 9000 + 1000 AS large FROM customer")
 def cn_numerals_all(spark, sf):
     c = _table(spark, sf, "customer").selectExpr("c_custkey AS k", "c_custkey * 7 % 9000 + 1000 AS a", "c_custkey * 3 % 9000 + 1000 AS b")
-    sql = lambda n: F.expr(_zero_numeral_sql(n).replace("//", "div"))
+    sql = lambda n: F.expr(_numeral_sql(n).replace("//", "div"))
     return c.select("k", amounts.numeral(sql("a")).cast("long").alias("small"), amounts.numeral(F.concat(sql("a"), F.lit("万"), sql("b"))).cast("long").alias("large"))
 
 
@@ -502,12 +489,7 @@ def flatten_text(spark, sf):
     return _table(spark, sf, "conversations").select("conv_id", "turn", flat("text").alias("flat"), F.length("text").alias("n"))
 
 
-@query("list_repr", r"SELECT conv_id, turn, concat('[', CASE WHEN strpos(r, '''') > 0 AND strpos(r, '\"') = 0 THEN concat('\"', replace(replace(r, '\', '\\'), chr(10), '\n'), '\"') ELSE concat('''', replace(replace(replace(r, '\', '\\'), chr(10), '\n'), '''', '\'''), '''') END, ', ''x'']') AS r FROM (SELECT conv_id, turn, left(text, 40) AS r FROM conversations)".replace('\\"', '"'))
-def list_repr_query(spark, sf):
-    return _table(spark, sf, "conversations").select("conv_id", "turn", list_repr(F.array(F.substring("text", 1, 40), F.lit("x"))).alias("r"))
-
-
-@query("list_repr_whole", ORACLES["list_repr"].replace("left(text, 40)", "text"))
+@query("list_repr_whole", r"SELECT conv_id, turn, concat('[', CASE WHEN strpos(r, '''') > 0 AND strpos(r, '\"') = 0 THEN concat('\"', replace(replace(r, '\', '\\'), chr(10), '\n'), '\"') ELSE concat('''', replace(replace(replace(r, '\', '\\'), chr(10), '\n'), '''', '\'''), '''') END, ', ''x'']') AS r FROM (SELECT conv_id, turn, text AS r FROM conversations)".replace('\\"', '"'))
 def list_repr_whole(spark, sf):
     return _table(spark, sf, "conversations").select("conv_id", "turn", list_repr(F.array("text", F.lit("x"))).alias("r"))
 
