@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from judgex.llm import classifier, decontamination, html, jaccard, mixing, quality, spans, suffixes, urls, warc
+from judgex.llm import classifier, clustering, decontamination, html, jaccard, mixing, quality, resampling, spans, suffixes, tokens, urls, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_decontaminate": decontamination.op8_decontaminate,
     "op9_sentence_spans": spans.op9_sentence_spans,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op11_token_ids": tokens.op11_token_ids,
+    "op12_importance_resampling": resampling.op12_importance_resampling,
+    "op13_centroid_clusters": clustering.op13_centroid_clusters,
 }
 
 #: The others take hashes, models or vocabularies that SQL lacks; tests hold them against brute force.
@@ -22,4 +25,5 @@ ORACLES = {
     "op1_mix_sources": mixing.ORACLE,
     "op2_warc": warc.ORACLE,
     "op8_decontaminate": decontamination.ORACLE,
+    "op13_centroid_clusters": clustering.ORACLE,
 }
