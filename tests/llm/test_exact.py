@@ -126,21 +126,33 @@ def test_suffixes_brute_force(corpus, size):
         assert (got[d].n_bytes, got[d].n_removed, got[d].n_spans, got[d].kept, got[d].kept_sha256) == (len(t), len(t) - len(kept), runs, kept, hashlib.sha256(kept).hexdigest())
 
 
+def _sentence_ends(text):
+    """(words, which of them end a sentence), told from the rule and not from the operator's code."""
+    found = list(WORD.finditer(text))
+    words = [m[0].translate(LOWER).encode() for m in found]
+    data = np.frombuffer(b"".join(words), np.uint8)
+    edge = np.cumsum([0, *map(len, words)])
+    h = kernels.RangeHash(data)(edge[:-1], edge[1:]).tolist() if words else []
+    last = [re.search(r"[.!?][^\x80-\U0010ffffa-zA-Z0-9]*$", m[0]) is not None for m in found]
+    for i, (m, n) in enumerate(zip(found, found[1:])):
+        last[i] |= "\n" in text[m.end() : n.start()]
+    for i in range(len(h) - spans.GAP + 1):
+        own = h[i : i + spans.GAP]
+        last[i + max(k for k, x in enumerate(own) if x == min(own))] = True
+    if last:
+        last[-1] = True
+    return words, last
+
+
 def test_spans_brute_force(corpus):
-    rows = {r.doc_id: (r.text, r.rid) for r in corpus.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("rid")).collect()}
+    """Every run of sentences that is long enough, not only those that the operator hashes."""
     places, size = collections.defaultdict(list), {}
-    for d, (t, rid) in rows.items():
-        if not t:
-            size[d] = 0
-            continue
-        data = np.frombuffer(t.encode(), np.uint8)
-        w, _, begin = spans.sentences(data, np.array([0, len(data)]))
-        words = [t.encode()[a:b].lower() for a, b in zip(w.starts, w.ends)]
-        edge = [*begin.tolist(), len(words)]
-        size[d] = len(begin)
-        for i in range(len(begin)):
-            j = next((j for j in range(i + spans.RUN, len(begin) + 1) if edge[j] - edge[i] >= spans.WORDS), None)
-            if j:
+    for d, t, rid in corpus.select("doc_id", "text", F.xxhash64("doc_id", "text")).collect():
+        words, last = _sentence_ends(t or "")
+        edge = [0, *(i + 1 for i, x in enumerate(last) if x)]
+        size[d] = len(edge) - 1
+        for i, j in itertools.combinations(range(len(edge)), 2):
+            if j - i >= spans.RUN and edge[j] - edge[i] >= spans.WORDS:
                 places[tuple(words[edge[i] : edge[j]])].append((d, rid, i, j))
     gone = collections.defaultdict(set)
     for p in places.values():
