@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Iterator
+from itertools import accumulate, chain, pairwise
 
 import pandas as pd
 from pyspark.sql import Column
@@ -54,40 +57,41 @@ def coerced_citations(c: Column | str) -> Column:
     return F.when(kind.startswith("OBJECT"), one).when(kind.startswith("ARRAY"), F.transform(many, lambda x: F.from_json(x, CITATION))).otherwise(F.array().cast(f"array<{CITATION}>"))
 
 
-def _first_object(text: str | None) -> str | None:
-    """The first balanced {...} that is a JSON object, strings not looked into; the whole text if it is one."""
-    if not text:
-        return None
+def _blocks(text: str) -> Iterator[str]:
+    """The outermost pairs of braces, braces in strings included; a closing brace that closes nothing counts for nothing."""
+    at = [m.start() for m in re.finditer(r"[{}]", text)]
+    depths = accumulate((1 if text[i] == "{" else -1 for i in at), lambda depth, step: max(depth + step, 0), initial=0)
+    opened = None
+    for (before, after), i in zip(pairwise(depths), at):
+        if before == 0 and after == 1:
+            opened = i
+        elif before == 1 and after == 0:
+            yield text[opened : i + 1]
 
-    def loaded(s: str) -> bool:
+
+def _object_in(text: str | None) -> str | None:
+    """A text that is a JSON object, or the first outermost pair of braces that is one."""
+    for candidate in chain([text], _blocks(text)) if text else ():
         try:
-            return isinstance(json.loads(s), dict)
+            if isinstance(json.loads(candidate), dict):
+                return candidate
         except ValueError:
-            return False
-
-    if loaded(text):
-        return text
-    begin, depth = -1, 0
-    for i, ch in enumerate(text):
-        if ch == "{":
-            if depth == 0:
-                begin = i
-            depth += 1
-        elif ch == "}" and depth:
-            depth -= 1
-            if depth == 0 and loaded(text[begin : i + 1]):
-                return text[begin : i + 1]
+            pass
     return None
 
 
 def first_object(c: Column | str) -> Column:
-    """The first JSON object in a text, as text. Balanced braces are not regular: Arrow batches in Python."""
+    """The first JSON object in a text, as text. Only texts that aren't one object already go to Python, by Arrow: balanced braces are not regular."""
 
     @F.pandas_udf("string")
     def find(s: pd.Series) -> pd.Series:
-        return s.map(_first_object)
+        return s.map(_object_in)
+
+    def of(s: Column) -> Column:
+        whole = F.coalesce(s.startswith("{") & F.try_parse_json(s).isNotNull(), F.lit(False))
+        return F.when(whole, s).otherwise(find(F.when(~whole, s)))
 
-    return find(unfenced(c))
+    return of(unfenced(c))
 
 
 def amount(c: Column | str) -> Column:

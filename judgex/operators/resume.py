@@ -62,12 +62,16 @@ def salvaged_keys(text: Column | str) -> Column:
 
 
 def unseen(existing: DataFrame, new: DataFrame, kind: str = "file_case") -> DataFrame:
-    """Rows of ``new`` whose keys ``existing`` lacks, the first of each key."""
+    """Rows of ``new`` whose keys ``existing`` lacks, the first of each key; rows without a key can't be told apart and are all new.
+
+    These don't take part in the join or the ranking, so however many there are, they form no group.
+    """
     fresh = new.withColumn("_key", resume_key(kind))
-    old = existing.select(resume_key(kind).alias("_key")).distinct()
-    fresh = fresh.join(old, "_key", "left_anti")
+    keyless = fresh.filter("_key = ''").drop("_key")
+    old = existing.select(resume_key(kind).alias("_key")).filter("_key != ''").distinct()
+    fresh = fresh.filter("_key != ''").join(old, "_key", "left_anti")
     w = Window.partitionBy("_key").orderBy(*_order()) if {FILE, POS} <= set(new.columns) else Window.partitionBy("_key").orderBy(*new.columns)
-    return fresh.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank", "_key")
+    return fresh.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").select(new.columns).unionAll(keyless)
 
 
 def upsert(existing: DataFrame, new: DataFrame, kind: str = "file_case") -> DataFrame:

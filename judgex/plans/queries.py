@@ -568,3 +568,6 @@ def label_funnel_by_quality(spark, sf):
 @query("event_props", "SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k FROM events GROUP BY 1")
 def event_props(spark, sf):
     return _table(spark, sf, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.get_json_object("props", "$.k").cast("long")).alias("k"))
+
+
+from judgex.plans import service  # noqa: E402, F401  registers its queries here
