@@ -17,10 +17,10 @@ from pyspark.sql import types as T
 
 from judgex.functions import amounts, llmjson
 from judgex.functions.pytext import blank
+from judgex.operators import calls
+from judgex.operators.calls import FACTOR, FIRST_WAIT, LONGEST_WAIT, MOST_RETRIES
 from judgex.session import ship
 
-#: Waits after rate limit errors, in seconds, and how often.
-FIRST_WAIT, FACTOR, LONGEST_WAIT, MOST_RETRIES = 2, 2, 60, 5
 Model = Callable[[str, str | None], str]
 
 
@@ -40,29 +40,32 @@ def key_number(keys: int, *by: Column | str) -> Column:
     return F.pmod(F.xxhash64(*by), F.lit(keys)).cast("int")
 
 
-def called(df: DataFrame, prompt: Column, model: Model, keys: tuple[str, ...] = (), concurrency: int | None = None) -> DataFrame:
-    """``df`` with answer, error, attempts and latency of a model's call for each row."""
+def called(df: DataFrame, prompt: Column, model: Model, keys: tuple[str, ...] = (), concurrency: int | None = None, in_flight: int = 1) -> DataFrame:
+    """``df`` with answer, error, attempts and latency of a model's call for each row.
+
+    A task keeps ``in_flight`` calls open, which the model must allow for; ``concurrency`` bounds the tasks. For endpoints
+    whose errors should be told apart see ``calls.requested``.
+    """
     ship(df.sparkSession)
     rows = df.withColumn("_prompt", prompt).withColumn("_key", key_number(len(keys), "_prompt") if keys else F.lit(-1))
     rows = rows.repartition(concurrency) if concurrency else rows
     schema = T.StructType([*df.schema.fields, *(T.StructField(n, t) for n, t in (("answer", T.StringType()), ("error", T.StringType()), ("attempts", T.IntegerType()), ("latency", T.DoubleType())))])
 
-    def ask(prompt: str, key: str | None) -> tuple[str | None, str | None, int, float]:
+    def ask(item: tuple[str, str | None]) -> tuple[str | None, str | None, int, float]:
         began, tries = time.monotonic(), 0
         while True:
             tries += 1
             try:
-                return model(prompt, key), None, tries, round(time.monotonic() - began, 2)
+                return model(*item), None, tries, round(time.monotonic() - began, 2)
             except Exception as e:  # a model's failure is a result of the row
-                said = str(e).lower()
-                if tries > MOST_RETRIES or not any(x in said for x in ("429", "too many requests", "rate limit")):
+                if tries > MOST_RETRIES or not calls.rate_limited(str(e)):
                     return None, str(e), tries, round(time.monotonic() - began, 2)
-                time.sleep(min(FIRST_WAIT * FACTOR ** (tries - 1), LONGEST_WAIT))
+                time.sleep(calls.rate_wait(tries - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [ask(p, keys[k] if k >= 0 else None) for p, k in zip(b.column("_prompt").to_pylist(), b.column("_key").to_pylist())]
-            cols = list(zip(*out)) or [(), (), (), ()]
+            items = [(p, keys[k] if k >= 0 else None) for p, k in zip(b.column("_prompt").to_pylist(), b.column("_key").to_pylist())]
+            cols = list(zip(*calls.in_order(items, ask, in_flight))) or [(), (), (), ()]
             made = [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int32(), pa.float64()))]
             yield pa.RecordBatch.from_arrays([b.column(i) for i in range(b.num_columns - 2)] + made, names=schema.names)
 
