@@ -57,8 +57,8 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> Blocks:
 
     def until(bad: np.ndarray) -> np.ndarray:
         """The first bad place from each place on, or the block's end."""
-        at = np.where(bad, place, np.int32(n))
-        return np.minimum(np.minimum.accumulate(at[::-1])[::-1], end)
+        at = np.append(np.flatnonzero(bad), n).astype(np.int32)
+        return np.minimum(np.repeat(at, np.diff(at, prepend=-1))[:n], end)
 
     for s in range(len(LAYOUTS) - 1, -1, -1):
         size, bits = LAYOUTS[s]

@@ -1,7 +1,7 @@
 """Token ids of a corpus as Simple-8b shard files, in ascending doc_id order.
 
 Texts are cut into pieces where the tokenizer's own pre-tokenizer cuts them, many texts at once, and a task gives the tokenizer every
-distinct piece once (``Pieces``). Which class a character belongs to is asked of the tokenizer too, so both agree by construction; a text
+distinct piece once (``Pieces``); pieces are looked up by hash and compared with what was found, byte by byte. Which class a character belongs to is asked of the tokenizer too, so both agree by construction; a text
 with the string of a special token goes to the tokenizer whole.
 
 Documents are dealt to ranges of doc_id whose bounds are percentiles of the ids; ids that take up several ranges, a hot id or nulls, are
@@ -34,8 +34,8 @@ from judgex.session import cut, scratch
 
 VOCABULARY, END = "byte_bpe_50k.json", 2
 SHARD_IDS = 8 << 20
-#: Distinct pieces that a task remembers before it starts anew.
-PIECES = 400_000
+#: Distinct pieces that a worker remembers before it starts anew.
+PIECES = 1_000_000
 _SPACE, _LETTER, _NUMBER, _OTHER, _UNKNOWN = 1, 2, 3, 4, 0
 #: Contractions that the byte-level pre-tokenizer cuts off.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -58,10 +58,13 @@ class Pieces:
         self.tokenizer.encode_special_tokens = not special
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
         self.classes = np.zeros(0x110000, np.uint8)
+        (self.line_end,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        # known pieces: sorted hashes with the piece's number; by number, where its bytes and its ids begin
+        self.hashes, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.bytes, self.start = np.zeros(0, np.uint8), np.zeros(1, np.int64)
         self.ids, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _learn(self, points: np.ndarray) -> None:
@@ -100,18 +103,54 @@ class Pieces:
             begin[after[after < n]] = True
         return np.flatnonzero(begin)
 
-    def _numbers(self, pieces: list[bytes]) -> np.ndarray:
-        """The number of each piece in ``first``; new ones are encoded."""
-        fresh = [p for p in dict.fromkeys(pieces) if p not in self.known]
-        if len(self.known) + len(fresh) > PIECES:
+    def _encoded(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, how many each has). Pieces without white space at their end go as lines of one text: a line end is a piece of its own."""
+        texts = [p.decode() for p in pieces]
+        lines = [not t[-1].isspace() for t in texts]
+        apart = {i: self.tokenizer.encode(t, add_special_tokens=False).ids for i, (t, line) in enumerate(zip(texts, lines)) if not line}
+        text = "\n".join(t for t, line in zip(texts, lines) if line)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.append(np.flatnonzero(ids == self.line_end), len(ids))
+        if len(ends) != max(1, sum(lines)):
+            raise ValueError("the tokenizer doesn't keep line ends apart")
+        sizes = np.zeros(len(pieces), np.int64)
+        sizes[np.flatnonzero(lines)] = np.diff(ends, prepend=-1) - 1 if any(lines) else []
+        ids = ids[ids != self.line_end]
+        for i, own in sorted(apart.items()):
+            sizes[i] = len(own)
+        if apart:
+            at = np.concatenate(([0], np.cumsum(sizes)))
+            out = np.zeros(at[-1], np.uint32)
+            out[np.repeat(np.array(lines), sizes)] = ids
+            for i, own in apart.items():
+                out[at[i] : at[i + 1]] = own
+            ids = out
+        return ids, sizes
+
+    def _add(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        ids, sizes = self._encoded(pieces)
+        every, number = np.concatenate((self.hashes, hashes)), np.concatenate((self.number, len(self.number) + np.arange(len(hashes))))
+        order = np.argsort(every, kind="stable")
+        self.hashes, self.number = every[order], number[order]
+        self.bytes = np.concatenate((self.bytes, np.frombuffer(b"".join(pieces), np.uint8)))
+        self.start = np.concatenate((self.start, self.start[-1] + np.cumsum([len(p) for p in pieces])))
+        self.ids, self.first = np.concatenate((self.ids, ids)), np.concatenate((self.first, self.first[-1] + np.cumsum(sizes)))
+
+    def _numbers(self, data: np.ndarray, edges: np.ndarray) -> np.ndarray | None:
+        """The number of each piece; the pieces are all of ``data``, cut at ``edges``. None if two pieces share a hash."""
+        found, one, which = np.unique(K.RangeHash(data)(edges[:-1], edges[1:]), return_index=True, return_inverse=True)
+        fresh = np.flatnonzero(~np.isin(found, self.hashes, assume_unique=True))
+        if len(self.hashes) + len(fresh) > PIECES:
             self._forget()
-            fresh = list(dict.fromkeys(pieces))
-        if fresh:
-            got = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in fresh], add_special_tokens=False)]
-            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
-            self.ids = np.concatenate((self.ids, np.fromiter(itertools.chain.from_iterable(got), np.uint32)))
-            self.first = np.concatenate((self.first, self.first[-1] + np.cumsum([len(x) for x in got])))
-        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+            fresh = np.arange(len(found))
+        if len(fresh):
+            raw, at = data.tobytes(), one[fresh]
+            self._add(found[fresh], [raw[a:b] for a, b in zip(edges[at].tolist(), edges[at + 1].tolist())])
+        no = self.number[np.searchsorted(self.hashes, found)][which]
+        size = np.diff(edges)
+        if (np.diff(self.start)[no] != size).any():
+            return None
+        return no if (self.bytes[np.repeat(self.start[no] - edges[:-1], size) + np.arange(len(data))] == data).all() else None
 
     def encode(self, s: K.Slab) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts of a slab, how many each text has)."""
@@ -122,25 +161,35 @@ class Pieces:
         starts = np.flatnonzero((s.data & 0xC0) != 0x80)  # byte of each code point
         first = np.searchsorted(starts, s.offs)
         at = self.cuts(points, first)
-        edges = np.append(starts[at], len(raw)).tolist()
-        no = self._numbers([raw[a:b] for a, b in zip(edges, edges[1:])])
+        no = self._numbers(s.data, np.append(starts[at], len(raw)))
+        if no is None:
+            return self._by_text(raw, s.offs)
         sizes = self.first[no + 1] - self.first[no]
         ends = np.concatenate(([0], np.cumsum(sizes)))
         ids = self.ids[np.repeat(self.first[no] - ends[:-1], sizes) + np.arange(ends[-1])]
         of_text = ends[np.searchsorted(at, first)]
         if any(x.encode() in raw for x in self.special):
-            return self._with_special(raw, s.offs, ids, of_text)
+            return self._by_text(raw, s.offs, ids, of_text)
         return ids, np.diff(of_text)
 
-    def _with_special(self, raw: bytes, offs: np.ndarray, ids: np.ndarray, of_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _by_text(self, raw: bytes, offs: np.ndarray, ids: np.ndarray | None = None, of_text: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, text by text; ids that are known are kept for texts without strings of special tokens."""
         out = []
         for i, (a, b) in enumerate(zip(offs.tolist(), offs[1:].tolist())):
             t = raw[a:b]
-            whole = any(x.encode() in t for x in self.special)
+            whole = ids is None or any(x.encode() in t for x in self.special)
             out.append(np.array(self.tokenizer.encode(t.decode(), add_special_tokens=False).ids, np.uint32) if whole else ids[of_text[i] : of_text[i + 1]])
         return np.concatenate(out), np.array([len(x) for x in out], np.int64)
 
 
+_kept: dict[tuple[str, bool], Pieces] = {}
+
+
+def pieces(path: str, special: bool) -> Pieces:
+    """A tokenizer that this worker keeps from task to task."""
+    return _kept.get((path, special)) or _kept.setdefault((path, special), Pieces(path, special))
+
+
 def encoded(docs: DataFrame, parts: int, path: str, end: int = END, special: bool = True) -> DataFrame:
     """Rows (part, doc_id, tie, ids): each document's range and its ids with the end id, as zstd of 32-bit integers."""
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
@@ -148,17 +197,15 @@ def encoded(docs: DataFrame, parts: int, path: str, end: int = END, special: boo
     shares = [i / parts for i in range(1, parts)]
     found = docs.agg(F.percentile_approx(F.coalesce("doc_id", F.lit(least)), F.array(*map(F.lit, shares)), F.lit(max(10_000, 50 * parts)))).first()[0] if shares else []
     bounds = np.array(found or [], np.int64)
-    kept: dict[str, Pieces] = {}
-
     def f(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        pieces = kept.get(path) or kept.setdefault(path, Pieces(path, special))
+        coder = pieces(path, special)
         small = zstandard.ZstdCompressor(3)
         doc = np.asarray(b.column("doc_id").fill_null(least))
         lo, hi = np.searchsorted(bounds, doc, "left"), np.searchsorted(bounds, doc, "right")
         spread = np.asarray(b.column("tie").fill_null(0)).view(np.uint64) % (hi - lo + 1).astype(np.uint64)
         part = pa.array((lo + spread.astype(np.int64)).astype(np.int32))
         for s in K.slabs(b.column("text")):
-            ids, sizes = pieces.encode(s)
+            ids, sizes = coder.encode(s)
             ends = np.cumsum(sizes)
             blobs = [small.compress(np.append(ids[e - n : e], np.uint32(end)).astype("<u4").tobytes()) for e, n in zip(ends.tolist(), sizes.tolist())]
             yield table(part=part.slice(s.lo, s.n), doc_id=b.column("doc_id").slice(s.lo, s.n), tie=b.column("tie").slice(s.lo, s.n), ids=pa.array(blobs, pa.binary()))
