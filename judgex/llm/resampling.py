@@ -2,11 +2,12 @@
 
 A text's features are its runs of one to ``n`` words; each falls into a hash bucket. The documents are inverted: per strip of
 about ``STRIP_BYTES`` of text, every bucket has one posting segment (places of the documents in the strip, counts). Segments are shuffled by
-bucket and meet the bucket's gain, which comes from co-grouping what both corpora hold in it: the log ratio of smoothed shares. There
-each segment turns into contributions (document, count times gain), which are summed by strip within the task and then by document.
+group of buckets (``GROUPS`` in all) and salt of strips, and meet the gains of the group's buckets, which come from co-grouping what both corpora hold in
+a bucket: the log ratio of smoothed shares. There the segments turn into contributions, counts times gains summed by document, at most one a
+document and group; these are reduced by document.
 
 The totals of buckets are counted before, in one vector a task, so gains depend on no order and a bucket's segments needn't be together: a bucket is
-split into one salt per ``SALT_STRIPS`` strips, however frequent it is. The scan is run twice, once for totals and once for postings, which
+split into one salt per ``SALT_STRIPS`` strips, however frequent it is, and what meets in one place is bounded. The scan is run twice, once for totals and once for postings, which
 moves less than keeping the postings. Scores add Gumbel noise of a seeded hash of doc_id, so the largest are a sample without
 replacement in proportion to exp(weight / 1000). Ranks come from a range sort and the sizes of its ranges.
 
@@ -33,7 +34,7 @@ from judgex.llm.arrow import batched, table
 from judgex.session import cut
 
 BUCKETS, RUN = 10_000, 2
-STRIP_BYTES, STRIP_ROWS, SALT_STRIPS = 4 << 20, 1 << 16, 1024
+STRIP_BYTES, STRIP_ROWS, SALT_STRIPS, GROUPS = 4 << 20, 1 << 16, 32, 16
 _LONG_WORD = 64
 
 
@@ -155,31 +156,35 @@ def gains(mine: DataFrame, target: DataFrame, buckets: int) -> DataFrame:
     return both.select("bucket", F.floor(1000 * F.log(ratio)).cast("long").alias("gain"))
 
 
-def _contributions(rows: DataFrame) -> DataFrame:
-    """Rows (strip, place, part): a document's counts times gains, summed over the segments of its strip that a task has one after another."""
+def _flat(col: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all values one after another, bytes of each)."""
+    a = col.combine_chunks()
+    a = pa.concat_arrays(a.chunks) if isinstance(a, pa.ChunkedArray) else a
+    _, offs, data = a.buffers()
+    o = np.frombuffer(offs, np.int32 if a.type == pa.binary() else np.int64)[a.offset : a.offset + len(a) + 1].astype(np.int64)
+    return np.frombuffer(data, np.uint8)[o[0] : o[-1]] if data is not None else np.zeros(0, np.uint8), np.diff(o)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, total = None, np.zeros(STRIP_ROWS, np.int64)
-        seen = np.zeros(STRIP_ROWS, bool)
 
-        def out() -> pa.RecordBatch:
-            p = np.flatnonzero(seen)
-            b = table(strip=np.full(len(p), own), place=p.astype(np.int32), part=total[p])
-            total[p], seen[p] = 0, False
-            return b
+def _contributions(mine: pa.Table, gain: pa.Table) -> pa.Table:
+    """Rows (strip, place, part) of a group's segments: each document's counts times gains, summed."""
+    gains_of = np.zeros(int(np.max(gain.column("bucket").to_numpy(), initial=-1)) + 1, np.int64)
+    gains_of[gain.column("bucket").to_numpy()] = gain.column("gain").to_numpy()
+    strips, at = np.unique(mine.column("strip").to_numpy(), return_inverse=True)
+    places, size = _flat(mine.column("docs"))
+    n = size // 2  # places have two bytes
+    data, width = _flat(mine.column("counts"))
+    wide = np.repeat(width > n, n)
+    count = np.zeros(len(wide), np.int64)
+    by_byte = np.repeat(width > n, width)
+    count[~wide], count[wide] = data[~by_byte], data[by_byte].view("<u4")
+    key = np.repeat(at, n) * STRIP_ROWS + places.view("<u2")
+    found, which = np.unique(key, return_inverse=True)
+    part = np.zeros(len(found), np.int64)
+    np.add.at(part, which, count * np.repeat(gains_of[mine.column("bucket").to_numpy()], n))
+    return pa.table({"strip": strips[found // STRIP_ROWS], "place": (found % STRIP_ROWS).astype(np.int32), "part": part})
 
-        for b in batches:
-            for strip, docs, counts, gain in zip(*(b.column(c).to_pylist() for c in ("strip", "docs", "counts", "gain"))):
-                if strip != own and own is not None:
-                    yield out()
-                own = strip
-                at = np.frombuffer(docs, "<u2")
-                total[at] += np.frombuffer(counts, "u1" if len(counts) < len(docs) else "<u4").astype(np.int64) * gain
-                seen[at] = True
-        if own is not None:
-            yield out()
 
-    return batched(rows).mapInArrow(run, "strip long, place int, part long")
+_NONE = pa.table({"strip": pa.array([], pa.int64()), "place": pa.array([], pa.int32()), "part": pa.array([], pa.int64())})
 
 
 def weights(docs: DataFrame, target: DataFrame, n: int = RUN, buckets: int = BUCKETS) -> DataFrame:
@@ -188,10 +193,11 @@ def weights(docs: DataFrame, target: DataFrame, n: int = RUN, buckets: int = BUC
     mine = cut(summary(docs, n, buckets), "resample-summary")
     theirs = summary(target.select(F.lit(None).cast("long").alias("doc_id"), "text"), n, buckets)
     salts = 1 + mine.filter("strip IS NOT NULL").count() // SALT_STRIPS
-    gain = gains(mine, theirs, buckets).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = postings(docs, n, buckets).withColumn("salt", F.pmod(F.xxhash64("strip"), F.lit(salts)).cast("int"))
-    met = salted.join(gain.hint("shuffle_hash"), ["bucket", "salt"]).select("strip", "docs", "counts", "gain")
-    parts = _contributions(met.sortWithinPartitions("strip"))
+    group = (F.col("bucket") % GROUPS).alias("group")
+    gain = gains(mine, theirs, buckets).select(group, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "bucket", "gain")
+    salted = postings(docs, n, buckets).select(group, F.pmod(F.xxhash64("strip"), F.lit(salts)).cast("int").alias("salt"), "bucket", "strip", "docs", "counts")
+    met = salted.groupBy("group", "salt").cogroup(gain.groupBy("group", "salt"))
+    parts = met.applyInArrow(lambda mine, gain: _contributions(mine, gain) if mine.num_rows else _NONE, "strip long, place int, part long")
     known = mine.filter("strip IS NOT NULL").select("strip", F.posexplode(F.arrays_zip("doc_ids", "n_words", "n_features")).alias("place", "d"))
     known = known.select("strip", "place", F.lit(0).cast("long").alias("part"), *(F.col(f"d.{c}").alias(c) for c in ("doc_ids", "n_words", "n_features")))
     every = known.unionByName(parts, allowMissingColumns=True)
