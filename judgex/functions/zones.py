@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from judgex.functions.pytext import SPACE, col, let
+from judgex.functions.pytext import SPACE, col, filled, let
 
 #: Zone names in order.
 ZONES = ("Z1_Header", "Z2_Preamble", "Z3_Fact", "Z4_Reasoning", "Z5_Judgment", "Z6_Footer", "Z7_SignOff")
@@ -137,6 +137,23 @@ def partition(text: Column | str, model: Callable[[Column], Column] = rule_bound
     return let(let(let(F.coalesce(col(text), F.lit("")), facts), bound), record)
 
 
+#: Fields of a record that its partition keeps, and where its text may stand.
+PASSED, TEXTS = ("sample_id", "case_no", "case_name"), ("text", "full_text")
+
+
+def partition_records(df: DataFrame, model: Callable[[Column], Column] = rule_boundaries, anchor: str = "auto", compat: bool = True) -> DataFrame:
+    """The partition of each record's text, after those of the passed-on fields that the records have. The first filled text counts."""
+    have = [df[c] for c in TEXTS if c in df.columns]
+    p = partition(filled(*have) if have else F.lit(""), model, anchor, compat)
+    return df.select(*(c for c in PASSED if c in df.columns), p.alias("_p")).select(*(c for c in PASSED if c in df.columns), "_p.*")
+
+
+def partition_text(spark: SparkSession, text: str | None, model: Callable[[Column], Column] = rule_boundaries, anchor: str = "auto", compat: bool = True) -> dict:
+    """One text's partition as a dict."""
+    row = spark.createDataFrame([(text,)], "text string").select(partition("text", model, anchor, compat).alias("p")).first()
+    return row["p"].asDict(recursive=True)
+
+
 def zone_text(top: Column | None, nested: Column | None, plain: Column | None = None) -> Column:
     """A zone's text where records keep it at top level (even empty), in zones.<name>.text, or in zones.<name>."""
     return F.coalesce(*(c for c in (top, nested, plain) if c is not None), F.lit(""))

@@ -117,3 +117,14 @@ def until_valid(df: DataFrame, valid: Column, n: int) -> DataFrame:
 def seeded_sample(df: DataFrame, n: int, seed: int, *keys: str) -> DataFrame:
     """n rows, the same for a seed whatever the partitioning."""
     return df.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(n)
+
+
+def first_of_each(df: DataFrame, n: int, by: list[str], *order: Column | str) -> DataFrame:
+    """The first n rows of each group. Spark stops at n rows a group before the shuffle, so a hot group moves n rows a task."""
+    w = Window.partitionBy(*by).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n).drop("_rank")
+
+
+def first_rows(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
+    """The first n rows of all; each task keeps n at most."""
+    return df.orderBy(*order).limit(n)

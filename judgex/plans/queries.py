@@ -570,4 +570,4 @@ def event_props(spark, sf):
     return _table(spark, sf, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.get_json_object("props", "$.k").cast("long")).alias("k"))
 
 
-from judgex.plans import service  # noqa: E402, F401  registers its queries here
+from judgex.plans import service, storage  # noqa: E402, F401  register their queries here
