@@ -115,8 +115,8 @@ def until_valid(df: DataFrame, valid: Column, n: int) -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int, *keys: str) -> DataFrame:
-    """n rows, the same for a seed whatever the partitioning."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(n)
+    """n rows, the same for a seed whatever the partitioning: those with the least md5 of seed and keys."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), *keys)), *keys).limit(n)
 
 
 def first_of_each(df: DataFrame, n: int, by: list[str], *order: Column | str) -> DataFrame:

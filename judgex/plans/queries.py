@@ -269,7 +269,7 @@ def until_n_valid(spark, sf):
     return resume.until_valid(view(spark, sf, _FILED), F.expr("status = 'success' and k % 9 < 4"), 300).select("k")
 
 
-@query("seeded_sample")
+@query("seeded_sample", duck("SELECT k FROM cases ORDER BY md5(concat('42:', cast(k AS STRING))), k LIMIT 50"))
 def seeded_sample(spark, sf):
     return resume.seeded_sample(view(spark, sf, _FILED), 50, 42, "k").select("k")
 
@@ -377,6 +377,13 @@ def nfkc_normalize(spark, sf):
     return _cases(spark, sf).select("k", citations.normalized(F.concat(F.lit("１２（ＡＢ） 〈"), F.col("law"), F.lit("〉　"))).alias("normal"), nfkc("law").alias("nfkc"))
 
 
+@query("nfkc_texts", "SELECT doc_id, nfc_normalize(replace(text, 'é', concat('e', chr(769)))) AS text FROM documents")
+def nfkc_texts(spark, sf):
+    """Whole texts with accents taken apart and full-width digits, put together again."""
+    apart = F.replace(F.translate("text", "0123456789", "０１２３４５６７８９"), F.lit("é"), F.lit("e\u0301"))
+    return _table(spark, sf, "documents").select("doc_id", nfkc(apart).alias("text"))
+
+
 # --- fees -------------------------------------------------------------------------------------------------------------
 
 
@@ -439,7 +446,12 @@ def parse_strict_json(spark, sf):
     return view(spark, sf, _ANSWERS).select("k", llmjson.strict("answer", llmjson.AMOUNT).alias("r")).select("k", "r.status", "r.data.target_amount")
 
 
-@query("parse_amount_json")
+_LOCAL = """CASE WHEN num = '' THEN '' WHEN unit = '万' THEN CAST(CAST(CAST(num AS DECIMAL(18,4)) * 10000 AS BIGINT) AS VARCHAR) WHEN unit = '亿' THEN CAST(CAST(CAST(num AS DECIMAL(18,4)) * 100000000 AS BIGINT) AS VARCHAR) ELSE num END"""
+
+
+@query("parse_amount_json", duck(f"""SELECT k, t AS target_amount, CASE WHEN t <> '' THEN '交付金额' ELSE 'unknown' END AS amount_type, CASE WHEN t <> '' THEN 'Z4' ELSE 'none' END AS source_zone FROM (
+  SELECT k, {_LOCAL} AS t FROM (SELECT k, regexp_extract(r, '[0-9]+([.][0-9]+)?') AS num, regexp_extract(r, '[0-9]([万亿])', 1) AS unit FROM (
+    SELECT k, CASE WHEN obj <> '' THEN replace(json_extract_string(obj, '$.target_amount'), ',', '') ELSE '' END AS r FROM (SELECT k, regexp_extract(answer, '[{{][^}}]*[}}]') AS obj FROM answers))))""", answers=_ANSWERS))
 def parse_amount_json(spark, sf):
     return view(spark, sf, _ANSWERS).select("k", llmjson.amount("answer").alias("r")).select("k", "r.*")
 
@@ -532,7 +544,7 @@ def annotate_heuristic(spark, sf):
     return annotate.heuristic_amounts(c).select("k", "amount.*", "status", "error_msg")
 
 
-@query("annotate_model")
+@query("annotate_model", duck("SELECT k, CASE WHEN bad THEN '' ELSE '50000' END AS target_amount, CASE WHEN bad THEN 'unknown' ELSE '交付金额' END AS amount_type, CASE WHEN bad THEN 'none' ELSE 'Z4' END AS source_zone, CASE WHEN bad THEN 'failed' ELSE 'success' END AS status, 1 AS attempts FROM (SELECT k, contains(concat(z3, z4), '若干') AS bad FROM cases)"))
 def annotate_model(spark, sf):
     """A stand-in for a model, which fails on some rows, behind the annotator interface."""
 
@@ -551,7 +563,7 @@ def rate_limit_waits(spark, sf):
     return o.select("k", annotate.rate_limited("e").alias("limited"), annotate.wait("r").alias("wait"))
 
 
-@query("key_rotation")
+@query("key_rotation", duck("SELECT CAST(CAST(concat('0x', left(md5(cast(k AS STRING)), 8)) AS BIGINT) % 6 AS INT) AS key, count(*) AS n FROM cases GROUP BY 1"))
 def key_rotation(spark, sf):
     return _cases(spark, sf).groupBy(annotate.key_number(6, "k").alias("key")).agg(F.count(F.lit(1)).alias("n"))
 
