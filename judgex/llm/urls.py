@@ -1,9 +1,9 @@
 """URL filters: rules first, then naive Bayes over segmented host names and path tokens.
 
-Names in hosts run words together. A name is split by the most likely sequence of words (Viterbi) under unigram counts of
-the words of all pages. Counts are looked up by join, a name's substrings against the corpus counts, so no
-dictionary is cut off or broadcast. A multinomial naive Bayes model then scores the host's words and the
-path's tokens. Its classes come by distant supervision: a url is an example of class block where a word of its host is in
+Names in hosts run words together. A name is split by the most likely sequence of words (Viterbi) under unigram chances, half from
+the words of all pages, half from the ranks of a public vocabulary's words. Corpus counts are looked up by join, a name's substrings of the lengths that
+words have against the counts, so no dictionary of the corpus is cut off or broadcast. A multinomial naive Bayes model then scores the host's words and the
+path's tokens. Its classes come by distant supervision: a url is an example of class block where a name in its host splits into known words alone and one of them is in
 ``SEEDS``, of class allow elsewhere; pseudo-counts follow the tokens' use in both classes together. Tokens are counted over all urls, in ``BUCKETS`` hash buckets, which bounds the model.
 
 Defined results: null urls and those without :// have empty host and path, fit no rule, and get the verdict of an
@@ -14,6 +14,7 @@ further columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
@@ -41,8 +42,8 @@ RULES = (Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("
 SEEDS = tuple(
     "ads adserver adult bet bets betting casino cialis escort gambling jackpot lottery malware nude payday phishing pills poker porn porno replica roulette sex slots spam torrent viagra warez xxx".split()
 )
-#: Shorter seeds stand by chance in longer names (essex, alphabet); they are only found as whole names or as the corpus knows them.
-SURE = 4
+#: Fixed value: the public vocabulary, whose words are known in the order of their ids.
+VOCABULARY, PUBLIC_WORDS = "byte_bpe_50k.json", 1_000_000
 BUCKETS = 1 << 16
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -78,17 +79,43 @@ def tokens_of(path: Column) -> Column:
     return F.regexp_extract_all(F.regexp_replace(F.translate(path, _UP, _LOW), "[0-9]+", "#"), F.lit("[a-z]+|#"), F.lit(0))
 
 
-def viterbi(name: str, counts: dict[str, int], total: int) -> list[str]:
-    """The likeliest words that make up a name; unknown words of n letters have chance 10 / (total 10**n)."""
-    best: list[tuple[float, int]] = [(0.0, 0)]
+def public_words(path: str | None = None) -> dict[str, float]:
+    """Chances of a public vocabulary's words, by Zipf's rule; of several spellings the first counts."""
+    import json
+
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(VOCABULARY)
+    with open(path, encoding="utf-8") as f:
+        ids = json.load(f)["model"]["vocab"]
+    ranks: dict[str, int] = {}
+    for token, i in sorted(ids.items(), key=lambda x: x[1]):
+        if re.fullmatch("\u0120[A-Za-z]{2,}", token):  # words begin with the sign for a blank
+            ranks.setdefault(token[1:].lower(), i)
+    whole = sum(1 / (10 + r) for r in ranks.values())
+    return {w: 1 / (10 + r) / whole for w, r in ranks.items()}
+
+
+def viterbi(name: str, counts: dict[str, float], total: float) -> list[str]:
+    """The likeliest words that make up a name; unknown words of n letters have chance 10 / (total 10**n).
+
+    A piece is tried at the lengths that known words have, and as unknown from the best place, so time follows the name's length.
+    """
+    ten, unknown = math.log(10), math.log(10 / total)
+    chance = {w: math.log(c / total) for w, c in counts.items() if c}
+    lengths = sorted({len(w) for w in chance}, reverse=True)
+    best, open_at = [(0.0, 0)], (0.0, 0)
     for end in range(1, len(name) + 1):
-        tries = []
-        for start in range(end):
-            word = name[start:end]
-            c = counts.get(word)
-            chance = math.log(c / total) if c else math.log(10 / total) - len(word) * math.log(10)
-            tries.append((best[start][0] + chance, start))
-        best.append(max(tries, key=lambda t: (t[0], -t[1])))
+        top = (open_at[0] + unknown - end * ten, open_at[1])
+        for n in lengths:
+            if n <= end and (c := chance.get(name[end - n : end])) is not None:
+                t = (best[end - n][0] + c, end - n)
+                if t[0] > top[0] or t[0] == top[0] and t[1] < top[1]:
+                    top = t
+        best.append(top)
+        if top[0] + end * ten > open_at[0]:
+            open_at = (top[0] + end * ten, end)
     words, end = [], len(name)
     while end:
         start = best[end][1]
@@ -97,28 +124,44 @@ def viterbi(name: str, counts: dict[str, int], total: int) -> list[str]:
     return words[::-1]
 
 
+def known_words(name: str, corpus: dict[str, int], total: int, public: dict[str, float], seeds: Sequence[str] = ()) -> tuple[dict[str, float], float]:
+    """(weights of the known words in a name, weight of all words): those of the corpus, and as much again from the public ones.
+
+    Seeds that neither has weigh as little as the rarest public word.
+    """
+    share = max(total, PUBLIC_WORDS)
+    out: dict[str, float] = dict(corpus)
+    for n in range(2, min(len(name), max(map(len, public), default=0)) + 1):
+        for i in range(len(name) - n + 1):
+            if p := public.get(name[i : i + n]):
+                out[name[i : i + n]] = corpus.get(name[i : i + n], 0) + share * p
+    rare = share * min(public.values(), default=1e-6)
+    return {w: rare for w in seeds if w in name} | out, total + share
+
+
 def _segmented(names: DataFrame, pages: DataFrame, seeds: Sequence[str]) -> DataFrame:
-    """Rows (name, words) for distinct names; counts are those of words in the text of all pages."""
+    """Rows (name, words, seeded) for distinct names; counts are those of words in the text of all pages."""
     text = F.regexp_replace(F.lower(F.coalesce("html", F.lit(""))), r"<[^>]*>", " ")
     words = pages.select(F.explode(F.regexp_extract_all(text, F.lit("[a-z]+"), F.lit(0))).alias("word"))
     counts = cut(words.groupBy("word").count(), "url-words")
-    total, longest = counts.agg(F.sum("count"), F.max(F.length("word"))).first()
-    total, longest = max(1, total or 0), longest or 1  # no longer piece of a name can be known
-    ends = lambda i: F.sequence(F.lit(1), F.least(F.lit(longest), F.length("name") - i))
-    subs = F.flatten(F.transform(F.sequence(F.lit(0), F.length("name") - 1), lambda i: F.transform(ends(i), lambda n: F.substring(F.col("name"), i + 1, n))))
-    found = names.select("name", F.explode(F.array_distinct(subs)).alias("word")).join(counts, "word")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    longest = names.agg(F.max(F.length("name"))).first()[0] or 0
+    lengths = sorted(r[0] for r in counts.select(F.length("word").alias("n")).filter(F.col("n") <= longest).distinct().collect())  # no more than letters in a name
+    each = names.select("name", F.explode(F.array(*map(F.lit, lengths)).cast("array<int>")).alias("n")).filter(F.col("n") <= F.length("name"))
+    subs = F.transform(F.sequence(F.lit(1), F.length("name") - F.col("n") + 1), lambda i: F.substring(F.col("name"), i, F.col("n")))
+    found = each.select("name", F.explode(F.array_distinct(subs)).alias("word")).join(counts, "word")
     known = names.join(found.groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("word", "count"))).alias("counts")), "name", "left")
+    public = names.sparkSession.sparkContext.broadcast(public_words())  # of a vocabulary file
 
     def f(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        out = []
-        floor = max(1, total // 100_000)  # seed words count as moderately frequent, though the corpus lacks them
+        out, seeded = [], []
         for name, c in zip(b.column("name").to_pylist(), b.column("counts").to_pylist()):
-            have = dict(c or ())
-            have |= {w: max(floor, have.get(w, 0)) for w in seeds if len(w) >= SURE and w in name}
-            out.append(viterbi(name, have, total))
-        yield table(name=b.column("name"), words=pa.array(out, pa.list_(pa.string())))
+            have, every = known_words(name, dict(c or ()), total, public.value, seeds)
+            out.append(viterbi(name, have, every))
+            seeded.append(all(w in have for w in out[-1]) and not set(seeds).isdisjoint(out[-1]))
+        yield table(name=b.column("name"), words=pa.array(out, pa.list_(pa.string())), seeded=seeded)
 
-    return over(known, f, "name string, words array<string>")
+    return over(known, f, "name string, words array<string>, seeded boolean")
 
 
 def _bucket(token: Column) -> Column:
@@ -145,10 +188,9 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, seeds: Sequence[str]
     names = cut(hosts.select(F.explode("names").alias("name")).distinct(), "url-names")
     split = cut(_segmented(names, pages, seeds), "url-split")
     placed = hosts.select("host", F.posexplode("names").alias("i", "name")).join(split, "name")
-    words = placed.groupBy("host").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("i", "words"))), lambda x: x["words"])).alias("words"))
+    words = placed.groupBy("host").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("i", "words"))), lambda x: x["words"])).alias("words"), F.max("seeded").alias("seeded"))
     none = F.array().cast("array<string>")
-    seeded = F.arrays_overlap("words", F.array(*map(F.lit, seeds))) if seeds else F.lit(False)
-    hosts = hosts.join(words, "host", "left").select("host", "urls", F.coalesce("words", none).alias("words")).withColumn("block", seeded)
+    hosts = hosts.join(words, "host", "left").select("host", "urls", F.coalesce("words", none).alias("words"), F.coalesce("seeded", F.lit(False)).alias("block"))
     hosts = cut(hosts, "url-host-words")
 
     host_tokens = hosts.select("block", "urls", F.explode("words").alias("t")).groupBy("block", _bucket(F.col("t")).alias("k")).agg(F.sum("urls").alias("n"))
