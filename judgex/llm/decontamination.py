@@ -6,8 +6,8 @@ position gives, by table, the number of words that can be skipped; where that is
 patterns' last block names the patterns to compare, word by word.
 
 The benchmark is a stated query set. Its patterns go to every task in blocks of at most ``BLOCK_BYTES`` of
-item text, measured before anything is collected; a larger benchmark takes several passes over the documents,
-merged by row, so no size of it is broadcast whole.
+item text, measured before anything is collected; a larger benchmark takes several passes over the documents, one block at a time,
+whose written results are merged by row, so neither the driver nor a task ever holds more of it than a block.
 
 Defined results: null and wordless texts have no words and are never contaminated; items that are null or wordless
 have no windows; items with equal windows are all found; an item without item_id hits like any other and
@@ -120,11 +120,14 @@ def digest(items: set) -> str:
     return hashlib.sha256(",".join(sorted(str(x) for x in items if x is not None)).encode()).hexdigest()
 
 
-def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, str | None]]]:
+def _number_of_blocks(benchmark: DataFrame) -> int:
+    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return -(-size // BLOCK_BYTES) or 1
+
+
+def _item_blocks(benchmark: DataFrame, n: int) -> Iterator[list[tuple[object, str | None]]]:
     """The benchmark's items, a bounded block at a time."""
     items = benchmark.select("item_id", "text").filter(F.col("text").isNotNull())
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-size // BLOCK_BYTES) or 1
     for k in range(n):
         part = items if n == 1 else items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == k)
         yield [(r[0], r[1]) for r in part.collect()]
@@ -134,40 +137,46 @@ def _contaminated(n_words: np.ndarray, n_hit: np.ndarray) -> np.ndarray:
     return (n_hit > 0) & (20 * n_hit >= n_words)
 
 
+_SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Rows (doc_id, n_words, n_hit, n_items, items_sha256, contaminated)."""
-    blocks = [docs.sparkSession.sparkContext.broadcast(build(b, window)) for b in _item_blocks(benchmark)]
+    n = _number_of_blocks(benchmark)
     docs = docs.select(docs["doc_id"].cast("long"), "text")
-    if len(blocks) > 1:
-        return _scan_in_passes(docs, blocks)
+    if n > 1:
+        rows = cut(docs.withColumn("row", F.monotonically_increasing_id()), "decontaminate-rows")
+        return _scan_in_passes(rows, benchmark, n, window).drop("row")
+    (items,) = _item_blocks(benchmark, 1)
+    shared = docs.sparkSession.sparkContext.broadcast(build(items, window))
 
     def f(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for s in K.slabs(b.column("text")):
-            n_words, n_hit, items = search(s, blocks[0].value)
+            n_words, n_hit, items = search(s, shared.value)
             yield table(doc_id=b.column("doc_id").slice(s.lo, s.n), n_words=n_words, n_hit=n_hit, n_items=[len(x) for x in items], items_sha256=[digest(x) for x in items], contaminated=_contaminated(n_words, n_hit))
 
-    return over(docs, f, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return over(docs, f, _SCHEMA)
 
 
-def _scan_in_passes(docs: DataFrame, blocks: list) -> DataFrame:
-    """A benchmark of several blocks: each pass marks hit words as bits, and rows are merged over the passes."""
-    docs = cut(docs.withColumn("row", F.monotonically_increasing_id()), "decontaminate-rows")
+def _scan_in_passes(rows: DataFrame, benchmark: DataFrame, n: int, window: int) -> DataFrame:
+    """A benchmark of several blocks: each pass over rows (row, doc_id, text) marks hit words, and rows are merged over the passes."""
 
     def one(block) -> DataFrame:
         def f(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for s in K.slabs(b.column("text")):
-                data = K.LOWER[s.data]
                 for i in range(s.n):
                     own = K.Slab(0, 1, s.data[s.offs[i] : s.offs[i + 1]], np.array([0, s.offs[i + 1] - s.offs[i]]), s.valid[i : i + 1])
                     marks, items = marked(own, block.value)
                     yield table(row=b.column("row").slice(s.lo + i, 1), doc_id=b.column("doc_id").slice(s.lo + i, 1), marks=[marks], items=[sorted(map(str, items - {None}))], nameless=[None in items])
-                del data
 
-        return over(docs, f, "row long, doc_id long, marks binary, items array<string>, nameless boolean")
+        return over(rows, f, "row long, doc_id long, marks binary, items array<string>, nameless boolean")
 
-    every = one(blocks[0])
-    for b in blocks[1:]:
-        every = every.unionAll(one(b))
+    every = None
+    for items in _item_blocks(benchmark, n):
+        shared = rows.sparkSession.sparkContext.broadcast(build(items, window))
+        found = cut(one(shared), "decontaminate-pass")
+        shared.destroy()
+        every = found if every is None else every.unionAll(found)
     merged = every.groupBy("row").agg(F.first("doc_id", True).alias("doc_id"), F.collect_list("marks").alias("marks"), F.flatten(F.collect_list("items")).alias("items"), F.max("nameless").alias("nameless"))
 
     def g(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -178,9 +187,9 @@ def _scan_in_passes(docs: DataFrame, blocks: list) -> DataFrame:
             sizes.append(len(set(items)) + bool(nameless))
             shas.append(digest(set(items)))
         w, h = np.array(n_words, np.int64), np.array(n_hit, np.int64)
-        yield table(doc_id=b.column("doc_id"), n_words=w, n_hit=h, n_items=sizes, items_sha256=shas, contaminated=_contaminated(w, h))
+        yield table(row=b.column("row"), doc_id=b.column("doc_id"), n_words=w, n_hit=h, n_items=sizes, items_sha256=shas, contaminated=_contaminated(w, h))
 
-    return over(merged, g, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return over(merged, g, "row long, " + _SCHEMA)
 
 
 def marked(s: K.Slab, classes: list[Class]) -> tuple[bytes, set]:
@@ -210,22 +219,21 @@ def marked(s: K.Slab, classes: list[Class]) -> tuple[bytes, set]:
 
 def drop(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that aren't contaminated, with all their columns."""
-    blocks = [docs.sparkSession.sparkContext.broadcast(build(b, window)) for b in _item_blocks(benchmark)]
+    n = _number_of_blocks(benchmark)
+    if n > 1:
+        row = "__judgex_row"
+        rows = cut(docs.withColumn(row, F.monotonically_increasing_id()), "decontaminate-rows")
+        found = _scan_in_passes(rows.select(F.col(row).alias("row"), rows["doc_id"].cast("long").alias("doc_id"), "text"), benchmark, n, window)
+        return rows.join(found.filter("contaminated").select(F.col("row").alias(row)), row, "left_anti").select(docs.columns)
+    (items,) = _item_blocks(benchmark, 1)
+    shared = docs.sparkSession.sparkContext.broadcast(build(items, window))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             clean = []
             for s in K.slabs(b.column("text")):
-                hit = np.zeros(s.n, bool)
-                if len(blocks) == 1:
-                    n_words, n_hit, _ = search(s, blocks[0].value)
-                    hit = _contaminated(n_words, n_hit)
-                else:
-                    for i in range(s.n):
-                        own = K.Slab(0, 1, s.data[s.offs[i] : s.offs[i + 1]], np.array([0, s.offs[i + 1] - s.offs[i]]), s.valid[i : i + 1])
-                        marks = [np.frombuffer(marked(own, x.value)[0], np.uint8) for x in blocks]
-                        hit[i] = _contaminated(np.array([len(marks[0])]), np.array([int(np.any(marks, axis=0).sum())]))[0]
-                clean.append(~hit)
+                n_words, n_hit, _ = search(s, shared.value)
+                clean.append(~_contaminated(n_words, n_hit))
             if clean:
                 yield b.filter(pa.array(np.concatenate(clean)))
 

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from judgex.llm import kernels as K
 from judgex.llm.arrow import batched, over, table
 from judgex.llm.components import components
+from judgex.llm.sieve import marked, sifted
 from judgex.session import cut
 
 BLOCK = 4000
@@ -267,15 +268,17 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+def _mixed(members: DataFrame, roots: DataFrame, among: DataFrame | None = None) -> DataFrame:
     """Rows (key, band, uid, root, m, top, tops) of buckets that hold several components, one bucket of each set of members.
 
-    m is the bucket's size, ``top`` its largest component and ``tops`` the members in it.
+    m is the bucket's size, ``top`` its largest component and ``tops`` the members in it. ``among`` has the keys of the buckets that count.
     """
     rooted = members.join(roots.toDF("uid", "root"), "uid", "left").select("key", "band", "uid", F.coalesce("root", "uid").alias("root")).repartition("key")
     own = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("uid")).alias("h"), F.bit_xor(F.xxhash64("uid", F.lit(1))).alias("g"))
     all_ = own.groupBy("key").agg(F.sum("n").alias("m"), F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).alias("t"), F.bit_xor("h").alias("h"), F.bit_xor("g").alias("g"))
-    open_ = all_.filter("m > 2 and roots > 1").groupBy("m", "h", "g").agg(F.min(F.struct("key", "t")).alias("b"))
+    open_ = all_.filter("m > 2 and roots > 1")
+    open_ = open_ if among is None else open_.join(among, "key", "left_semi")
+    open_ = open_.groupBy("m", "h", "g").agg(F.min(F.struct("key", "t")).alias("b"))
     open_ = open_.select("b.key", "m", F.col("b.t.root").alias("top"), F.col("b.t.n").alias("tops"))
     return rooted.join(open_, "key")
 
@@ -326,18 +329,22 @@ def link(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     sigs = cut(sized.join(alike, "uid", "left_semi").groupBy("uid").agg(F.first("n_shingles").alias("n_shingles"), F.first("own").alias("own"), F.first("low").alias("low"), F.first("high").alias("high")), "jaccard-sketches")
     near = cut(_filtered(multi.filter("prev is not null").select(F.col("prev").alias("a"), F.col("uid").alias("b"), "band").distinct(), sigs, rule), "jaccard-pairs")
     ends = lambda p: p.select(F.col("a").alias("uid")).unionAll(p.select("b")).distinct()
-    texts_of = lambda p, name: cut(real.select("uid", "text").join(ends(p), "uid", "left_semi").groupBy("uid").agg(F.first("text").alias("text")), name)
+
+    def texts_of(p: DataFrame, name: str) -> DataFrame:
+        wanted = cut(ends(p), f"{name}-ids")
+        return cut(sifted(real.select("uid", "text"), "uid", wanted).join(wanted, "uid", "left_semi").groupBy("uid").agg(F.first("text").alias("text")), name)
+
     edges = cut(_verified(near, texts_of(near, "jaccard-texts"), rule), "jaccard-edges")
     roots = components(edges)
     members = multi.select("key", "band", "uid")
-    failed, width = cut(near.join(edges, ["a", "b"], "left_anti"), "jaccard-failed"), 1
+    failed, width, among = cut(near.join(edges, ["a", "b"], "left_anti"), "jaccard-failed"), 1, None
     while True:  # each round links components or learns of pairs that don't link
-        mixed = cut(_mixed(members, roots), "jaccard-mixed")
+        mixed = cut(_mixed(members, roots, among), "jaccard-mixed")
         passed = cut(_rest(mixed, sigs, failed, rule, width), "jaccard-rest")
         if passed.isEmpty():
             break
         # a bucket without a pair left never has one again
-        members = mixed.select("key", "band", "uid").join(passed.select("key").distinct(), "key", "left_semi")
+        members, among = mixed.select("key", "band", "uid"), passed.select("key").distinct()
         width *= 2
         more = passed.select("a", "b").distinct()
         extra = cut(_verified(more, texts_of(more, "jaccard-more-texts"), rule), "jaccard-more-edges")
@@ -362,11 +369,12 @@ def first_of_each(docs: DataFrame, rule: Rule) -> DataFrame:
     # rows of one doc_id and text are told apart by nothing: one of them stays
     again = linked.groupBy(F.col("doc_id").alias("i"), F.col("uid").alias("u")).agg(F.first("lost").alias(lost), F.count(F.lit(1)).alias("n")).filter(f"{lost} or n > 1")
     again = cut(again.select("i", "u", F.when(F.col(lost), "lost").otherwise("one").alias(what)), "jaccard-lost")
-    marked = rows.join(again, (rows[rid] == again["u"]) & rows[rno].eqNullSafe(again["i"]), "left")
-    kept = marked.filter(F.col(what).isNull()).select(*(docs[c] for c in docs.columns))
+    maybe = marked(rows, F.col(rid), again.select("u"), "__judgex_maybe")
+    found = maybe.filter("__judgex_maybe").drop("__judgex_maybe").join(again, (F.col(rid) == again["u"]) & F.col(rno).eqNullSafe(again["i"]), "left")
+    kept = maybe.filter("not __judgex_maybe").select(docs.columns).unionAll(found.filter(F.col(what).isNull()).select(docs.columns))
     if again.filter(F.col(what) == "one").isEmpty():
         return kept
-    one = marked.filter(F.col(what) == "one").select(rno, rid, F.struct(*(docs[c] for c in docs.columns)).alias(what))
+    one = found.filter(F.col(what) == "one").select(rno, rid, F.struct(*docs.columns).alias(what))
     return kept.unionAll(one.groupBy(rno, rid).agg(F.first(what).alias(what)).select(f"{what}.*"))
 
 

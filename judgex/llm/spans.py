@@ -5,7 +5,7 @@ after the word with the least hash (the last of equal ones) of each window of ``
 ``GAP`` words, and whether a cut is made depends on the ``GAP`` - 1 words before and after it alone: every ``GAP`` words of a
 passage hold a cut that all its copies share, whatever stands around them. At every sentence starts one span, and one ends: the shortest
 run of at least ``RUN`` sentences and ``WORDS`` words. Together they cover whatever a longer repeated run covers. Spans are hashed (words compared with A-Z lower-cased, white space
-ignored) and joined globally; a sentence that any but the first occurrence of a repeated span covers is
+ignored) and joined globally; ``least`` = 1 hashes the runs of two sentences of any length, too; a sentence that any but the first occurrence of a repeated span covers is
 removed with the white space after it. The first occurrence is that with the least (doc_id, text hash, position).
 
 Span hashes are counted by a map-side combined aggregate, so a span in a third of all documents is one row a task; only
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from judgex.llm import kernels as K
 from judgex.llm.arrow import batched, over, table
+from judgex.llm.sieve import marked
 from judgex.session import cut
 
 RUN, WORDS, GAP = 2, 16, 8
@@ -114,10 +115,10 @@ def _sentence_numbers(w: K.Words, begin: np.ndarray, n: int) -> tuple[np.ndarray
     return row, np.searchsorted(row, np.arange(n + 1))
 
 
-def _emit(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def _emit(b: pa.RecordBatch, least: int = WORDS) -> Iterator[pa.RecordBatch]:
     for s in K.slabs(b.column("text")):
         w, h, begin = sentences(s.data, s.offs)
-        i, j, sh = spans(w, h, begin)
+        i, j, sh = spans(w, h, begin, least=least)
         row, first = _sentence_numbers(w, begin, s.n)
         r = row[i]
         at = pa.array(r + s.lo)
@@ -128,9 +129,9 @@ def _with_id(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("rid"), "text")
 
 
-def repeats(docs: DataFrame) -> DataFrame:
+def repeats(docs: DataFrame, least: int = WORDS) -> DataFrame:
     """Rows (rid, pos, n): spans to remove, by xxhash64(doc_id, text), first sentence and number of sentences."""
-    every = over(_with_id(docs), _emit, "h long, doc_id long, rid long, pos int, n int")
+    every = over(_with_id(docs), lambda b: _emit(b, least), "h long, doc_id long, rid long, pos int, n int")
     again = cut(every.groupBy("h").count().filter("count > 1").select("h"), "span-repeats")
     found = cut(every.join(again, "h", "left_semi"), "span-places")
     # null ids last: a struct's nulls sort first, so a flag goes before
@@ -139,9 +140,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     return found.join(first, "h").filter("rid != first_rid or pos != first_pos").select("rid", "pos", "n")
 
 
-def _removed(docs: DataFrame) -> DataFrame:
+def _removed(docs: DataFrame, least: int = WORDS) -> DataFrame:
     """One row (rid, gone) a document that loses sentences; gone is bounded by the document."""
-    spans = repeats(docs).groupBy("rid").agg(F.collect_set(F.struct("pos", "n")).alias("spans"))
+    spans = repeats(docs, least).groupBy("rid").agg(F.collect_set(F.struct("pos", "n")).alias("spans"))
     each = F.flatten(F.transform("spans", lambda s: F.sequence(s["pos"], s["pos"] + s["n"] - 1)))
     return cut(spans.select("rid", F.array_sort(F.array_distinct(each)).alias("gone")), "span-removed")
 
@@ -161,9 +162,9 @@ def remains(text: bytes | None, gone: list[int]) -> tuple[bytes | None, int, int
     return kept, len(begin), int(sum(start[i + 1] - start[i] for i in lost))
 
 
-def report(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n_sentences, n_removed, n_words_removed, n_bytes_kept, kept_sha256)."""
-    rows = _with_id(docs).join(_removed(docs), "rid", "left")
+def report(docs: DataFrame, least: int = WORDS) -> DataFrame:
+    """Rows (doc_id, n_sentences, n_removed, n_words_removed, n_bytes_kept, kept_sha256). ``least`` is the fewest words of a span."""
+    rows = _with_id(docs).join(_removed(docs, least), "rid", "left")
 
     def f(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         out = [remains(t.encode() if t is not None else None, g or []) for t, g in zip(b.column("text").to_pylist(), b.column("gone").to_pylist())]
@@ -175,10 +176,12 @@ def report(docs: DataFrame) -> DataFrame:
     return over(rows, f, "doc_id long, n_sentences long, n_removed long, n_words_removed long, n_bytes_kept long, kept_sha256 string")
 
 
-def strip(docs: DataFrame) -> DataFrame:
-    """The documents with repeated sentences taken out of ``text``; all else as it was."""
+def strip(docs: DataFrame, least: int = WORDS) -> DataFrame:
+    """The documents with repeated sentences taken out of ``text``; all else as it was. ``least`` is the fewest words of a span."""
     rid, gone = "__judgex_rid", "__judgex_gone"
-    rows = docs.withColumn(rid, F.xxhash64("doc_id", "text")).join(_removed(docs).withColumnsRenamed({"rid": rid, "gone": gone}), rid, "left").select(*(docs[c] for c in docs.columns), gone)
+    lost = _removed(docs, least).withColumnsRenamed({"rid": rid, "gone": gone})
+    maybe = marked(docs.withColumn(rid, F.xxhash64("doc_id", "text")), F.col(rid), lost.select(rid), "__judgex_maybe")
+    rows = maybe.filter("__judgex_maybe").join(lost, rid, "left").select(*docs.columns, gone)
     names = docs.columns
     at = names.index("text")
 
@@ -193,7 +196,7 @@ def strip(docs: DataFrame) -> DataFrame:
                 cols[at] = pa.array(text, cols[at].type)
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return batched(rows).mapInArrow(run, docs.schema)
+    return batched(rows).mapInArrow(run, docs.schema).unionAll(maybe.filter("not __judgex_maybe").select(docs.columns))
 
 
 def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
