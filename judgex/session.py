@@ -31,8 +31,10 @@ def local_session(cores: str = "8", **extra: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where that is unset."""
+    """The folder all executors share: spark.checkpoint.dir, or on a single machine a local one where that is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (named or LOCAL_SHARED).rstrip("/")
 
 

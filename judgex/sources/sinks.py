@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from judgex.functions import prompts
 from judgex.operators.resume import unseen
+from judgex.sources.files import Files, name
+
+
+def _month_folders(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(year, year_month) of the folders of a partitioned tree: names are listed, rows aren't read."""
+    files = Files(spark)
+    value = lambda folder, key: unquote(name(folder).removeprefix(f"{key}="))
+    return [(value(y.path, "year"), value(m.path, "year_month")) for y in files.entries(path) if name(y.path).startswith("year=") for m in files.entries(y.path) if name(m.path).startswith("year_month=")]
 
 
 def json_by_month(df: DataFrame, path: str, overwrite: bool = False) -> None:
     """JSON lines partitioned by year and year_month; months that exist are kept, or with ``overwrite`` replaced."""
-    spark = df.sparkSession
     if not overwrite:
-        try:
-            have = spark.read.json(path).select("year", "year_month").distinct()
-        except Exception as e:  # the folder isn't there yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        else:
-            have = have.select(F.col("year").cast("string").alias("year"), F.col("year_month").cast("string").alias("year_month"))
-            df = df.join(have, ["year", "year_month"], "left_anti")
+        if have := _month_folders(df.sparkSession, path):
+            df = df.join(df.sparkSession.createDataFrame(have, "year string, year_month string"), ["year", "year_month"], "left_anti")
         df.write.mode("append").partitionBy("year", "year_month").json(path)
     else:
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "year_month").json(path)
