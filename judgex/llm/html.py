@@ -393,6 +393,7 @@ def unimportant(pages: DataFrame, least_pages: int = LEAST_PAGES, low: float = L
     every = over(pages.select("url", "html"), _looks, "host string, page long, path long, tags long, text long, links long, chars long, inside boolean")
     # equal pages count once
     once = every.groupBy("host", "path", "page", "text", "tags").agg(F.max("links").alias("links"), F.max("chars").alias("chars"), F.max("inside").alias("inside"))
+    once = cut(once, "style-looks")  # else both entropies would parse the pages
 
     def spread(what: str) -> DataFrame:
         n = once.groupBy("host", "path", what).agg(F.count(F.lit(1)).alias("n"), F.sum("links").alias("links"), F.sum("chars").alias("chars"), F.max("inside").alias("inside"))
