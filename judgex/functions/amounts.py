@@ -106,27 +106,30 @@ def normalize(raw: Column | str) -> Column:
 
 def normalize_local(raw: Column | str) -> Column:
     """As ``normalize``, but with the units 万 and 亿 and ASCII digits only."""
-    s = F.replace(strip(F.coalesce(col(raw).cast("string"), F.lit(""))), F.lit(","), F.lit(""))
     unit = f"({_ASCII})[{SPACE}]*(万|亿)"
-    return F.when(s.rlike(unit), yuan(F.regexp_extract(s, unit, 1), F.regexp_extract(s, unit, 2))).otherwise(F.regexp_extract(s, _ASCII, 0))
+    of = lambda s: F.when(s.rlike(unit), yuan(F.regexp_extract(s, unit, 1), F.regexp_extract(s, unit, 2))).otherwise(F.regexp_extract(s, _ASCII, 0))
+    return let(F.replace(strip(F.coalesce(col(raw).cast("string"), F.lit(""))), F.lit(","), F.lit("")), of)
 
 
 def amount_type(raw: Column | str) -> Column:
-    s = strip(F.coalesce(col(raw), F.lit("")))
-    return F.when(s == "payment", DELIVERED).when(s == "loan", INVOLVED).when(s.isin(*TYPES), s).otherwise("unknown")
+    return let(strip(F.coalesce(col(raw), F.lit(""))), lambda s: F.when(s == "payment", DELIVERED).when(s == "loan", INVOLVED).when(s.isin(*TYPES), s).otherwise("unknown"))
 
 
 def source_zone(raw: Column | str) -> Column:
-    s = strip(F.coalesce(col(raw), F.lit("")))
-    return F.when(s.isin(*PLACES), s).otherwise("none")
+    return let(strip(F.coalesce(col(raw), F.lit(""))), lambda s: F.when(s.isin(*PLACES), s).otherwise("none"))
 
 
 def filled_up(amount: Column, kind: Column, zone: Column) -> Column:
     """struct<target_amount, amount_type, source_zone> in which type and zone complete each other; the zone sees the completed type."""
-    has = amount != ""
-    kind2 = F.when(has & (kind == "unknown") & (zone == "Z4"), DELIVERED).when(has & (kind == "unknown") & (zone == "Z3"), INVOLVED).otherwise(kind)
-    zone2 = F.when(has & (zone == "none") & (kind2 == DELIVERED), "Z4").when(has & (zone == "none") & (kind2 == INVOLVED), "Z3").otherwise(zone)
-    return result(amount, F.when(has, kind2).otherwise("unknown"), F.when(has, zone2).otherwise("none"))
+
+    def of(r: Column) -> Column:
+        a, kind, zone = r["target_amount"], r["amount_type"], r["source_zone"]
+        has = a != ""
+        kind2 = F.when(has & (kind == "unknown") & (zone == "Z4"), DELIVERED).when(has & (kind == "unknown") & (zone == "Z3"), INVOLVED).otherwise(kind)
+        zone2 = F.when(has & (zone == "none") & (kind2 == DELIVERED), "Z4").when(has & (zone == "none") & (kind2 == INVOLVED), "Z3").otherwise(zone)
+        return result(a, F.when(has, kind2).otherwise("unknown"), F.when(has, zone2).otherwise("none"))
+
+    return let(result(amount, kind, zone), of)
 
 
 def result(amount: Column, kind: Column, zone: Column) -> Column:

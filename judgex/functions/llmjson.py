@@ -8,29 +8,34 @@ from collections.abc import Iterator
 from itertools import accumulate, chain, pairwise
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from judgex.functions import amounts
 from judgex.functions.citations import CITATION
-from judgex.functions.pytext import col, strip
+from judgex.functions.pytext import col, let, strip
+from judgex.session import ship
 
 AMOUNT = "struct<target_amount:string,amount_type:string,source_zone:string>"
 
 
 def unfenced(c: Column | str) -> Column:
     """Stripped text without a Markdown fence: its first line if that opens one, and a closing one."""
-    s = strip(F.coalesce(col(c), F.lit("")))
-    opened = s.startswith("```")
-    body = F.when(opened & F.contains(s, F.lit("\n")), F.regexp_replace(s, r"\A[^\n]*\n", "")).otherwise(s)
-    return strip(F.when(opened, F.regexp_replace(body, r"```\z", "")).otherwise(body))
+
+    def of(s: Column) -> Column:
+        body = F.when(F.contains(s, F.lit("\n")), F.regexp_replace(s, r"\A[^\n]*\n", "")).otherwise(s)
+        return F.when(s.startswith("```"), strip(F.regexp_replace(body, r"```\z", ""))).otherwise(s)
+
+    return let(strip(F.coalesce(col(c), F.lit(""))), of)
 
 
 def strict(c: Column | str, schema: str) -> Column:
     """struct<status, data>: the whole unfenced text as JSON of a schema, or status error."""
-    s = unfenced(c)
-    ok = F.try_parse_json(s).isNotNull()
-    return F.struct(F.when(ok, "success").otherwise("error").alias("status"), F.when(ok, F.from_json(s, schema)).alias("data"))
+
+    def of(p: Column) -> Column:
+        return F.struct(F.when(p["ok"], "success").otherwise("error").alias("status"), F.when(p["ok"], F.from_json(p["s"], schema)).alias("data"))
+
+    return let(let(unfenced(c), lambda s: F.struct(s.alias("s"), F.try_parse_json(s).isNotNull().alias("ok"))), of)
 
 
 def citations(c: Column | str) -> Column:
@@ -81,20 +86,23 @@ def _object_in(text: str | None) -> str | None:
 
 
 def first_object(c: Column | str) -> Column:
-    """The first JSON object in a text, as text. Only texts that aren't one object already go to Python, by Arrow: balanced braces are not regular."""
+    """The first JSON object in a text, as text. Only texts that aren't one object already go to Python, by Arrow: balanced braces are not regular.
+
+    Name the result once (``let``), as every mention of it is computed by itself.
+    """
+    if spark := SparkSession.getActiveSession():
+        ship(spark)
 
     @F.pandas_udf("string")
     def find(s: pd.Series) -> pd.Series:
         return s.map(_object_in)
 
-    def of(s: Column) -> Column:
-        whole = F.coalesce(s.startswith("{") & F.try_parse_json(s).isNotNull(), F.lit(False))
-        return F.when(whole, s).otherwise(find(F.when(~whole, s)))
-
-    return of(unfenced(c))
+    whole = lambda s: F.coalesce(s.startswith("{") & F.try_parse_json(s).isNotNull(), F.lit(False))
+    other, own = let(unfenced(c), lambda s: F.when(~whole(s), s)), let(unfenced(c), lambda s: F.when(whole(s), s))
+    return F.coalesce(find(other), own)
 
 
 def amount(c: Column | str) -> Column:
     """struct<target_amount, amount_type, source_zone> from a model's answer, normalised and completed."""
-    data = F.from_json(first_object(c), AMOUNT)
-    return amounts.filled_up(amounts.normalize_local(data["target_amount"]), amounts.amount_type(data["amount_type"]), amounts.source_zone(data["source_zone"]))
+    made = lambda d: amounts.filled_up(amounts.normalize_local(d["target_amount"]), amounts.amount_type(d["amount_type"]), amounts.source_zone(d["source_zone"]))
+    return let(F.from_json(first_object(c), AMOUNT), made)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: White space as Python's str.strip and \s see it, as the inside of a character class (Java's own \s is ASCII only).
 SPACE = r"\t-\r\x1c-\x20\x85\xa0" + "".join(f"\\u{i:04x}" for i in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+#: The same characters themselves, for trimming.
+BLANKS = "".join(map(chr, (*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 #: JSON's short escapes: control character, escape.
 JSON_SHORT = (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f"))
 _RARE = [i for i in range(0x20) if chr(i) not in "\n\r\t"]
@@ -26,7 +28,7 @@ def let(value: Column, f: Callable[[Column], Column]) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(col(c), F.lit(BLANKS))
 
 
 def squeeze(c: Column | str) -> Column:
@@ -51,13 +53,17 @@ def key(c: Column | str) -> Column:
 
 def json_string(c: Column | str) -> Column:
     """A JSON string literal as json.dumps(ensure_ascii=False) writes it; null for null."""
+
+    def escaped(s: Column) -> Column:
+        rare, short = s, dict(JSON_SHORT)
+        for i in _RARE:
+            rare = F.replace(rare, F.lit(chr(i)), F.lit(short.get(chr(i), f"\\u{i:04x}")))
+        return F.concat(F.lit('"'), F.when(s.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f]"), rare).otherwise(s), F.lit('"'))
+
     s = F.replace(F.replace(col(c), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
     for raw, esc in JSON_SHORT[:3]:
         s = F.replace(s, F.lit(raw), F.lit(esc))
-    rare, short = s, dict(JSON_SHORT)
-    for i in _RARE:
-        rare = F.replace(rare, F.lit(chr(i)), F.lit(short.get(chr(i), f"\\u{i:04x}")))
-    return F.concat(F.lit('"'), F.when(col(c).rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f]"), rare).otherwise(s), F.lit('"'))
+    return let(s, escaped)
 
 
 def json_object(**fields: Column | str) -> Column:

@@ -87,9 +87,9 @@ def answered_amounts(df: DataFrame, z4: Column | str = "z4", z3: Column | str =
     norm = amounts.normalize if api else amounts.normalize_local
     df = df.withColumn("_raw", raw)
     df = df.withColumn("_model", amounts.filled_up(norm("_raw.target_amount"), amounts.amount_type("_raw.amount_type"), amounts.source_zone("_raw.source_zone")))
-    df = df.withColumn("_plain", amounts.heuristic(z4, z3))
     empty = blank(z4) & blank(z3)
     use_model = F.col("error").isNull() & (F.col("_model.target_amount") != "")
+    df = df.withColumn("_plain", F.when(~F.coalesce(use_model, F.lit(False)), amounts.heuristic(z4, z3)))
     df = df.withColumn("amount", F.when(empty, amounts.result(F.lit(""), F.lit("unknown"), F.lit("none"))).when(use_model, F.col("_model")).otherwise(F.col("_plain")))
     good = F.col("error").isNull() | (F.col("_plain.target_amount") != "")
     return df.withColumn("status", F.when(empty, "skipped").when(good, "success").otherwise("failed")).drop("_raw", "_model", "_plain")

@@ -71,8 +71,12 @@ SELECT concat('result_', cast(k % 12 AS STRING), '.jsonl') AS _file, k AS _pos,
 
 
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """A synthetic table over an input folder."""
+    """A synthetic table over an input folder.
+
+    Two integers an order become long texts, so orders are dealt to the session's tasks first: a small file is one task's otherwise.
+    """
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
+    orders = orders.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
     orders.createOrReplaceTempView("judgex_orders")
     cases = CASES.replace("FROM orders", "FROM judgex_orders")
     return spark.sql(cases if sql is CASES else f"WITH cases AS ({cases}) {sql}")
