@@ -21,13 +21,32 @@ SELECT k, 2010 + k % 7 AS y, concat('{"k": ', cast(k AS STRING), ', "z4": "', z4
 """
 
 
+#: Keys of neighbouring cases in a run, within which places are counted before they are counted over runs.
+_RUN = 10_000
+
+
 def _array_tree(spark: SparkSession, sf: str, share: float = 1.0) -> str:
-    """A file a year with an array of its cases, cut off after a share of its characters."""
-    rows = view(spark, sf, _ROWS)
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "j"))), lambda r: r["j"]), ",\n")
-    years = rows.groupBy("y").agg(F.concat(F.lit("[\n"), text, F.lit("\n]")).alias("t"))
+    """A file a year with an array of its cases, a line each, cut off after a share of its characters.
+
+    A file is written line by line from sorted rows; no row or group holds an array. Where a line begins follows from the sizes of runs of lines.
+    """
+    rows = view(spark, sf, _ROWS).withColumn("run", F.expr(f"k div {_RUN}")).withColumn("n", (F.length("j") + 2).cast("long"))
+    year = Window.partitionBy("y")
+    runs = rows.groupBy("y", "run").agg(F.sum("n").alias("own"))
+    runs = runs.select(  # a row a run
+        "y", "run", F.coalesce(F.sum("own").over(year.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"), F.sum("own").over(year).alias("all"),
+        (F.col("run") == F.min("run").over(year)).alias("first"), (F.col("run") == F.max("run").over(year)).alias("last"),
+    )
+    own = Window.partitionBy("y", "run").orderBy("k")
+    rows = rows.withColumns({"before": F.coalesce(F.sum("n").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "i": F.row_number().over(own), "next": F.lead("k").over(own)}).join(runs, ["y", "run"])
+    first, last = F.col("first") & (F.col("i") == 1), F.col("last") & F.col("next").isNull()
+    line = F.concat(F.when(first, "[\n").otherwise(""), "j", F.when(last, "\n]").otherwise(","))
+    # the whole text: "[\n", lines with ",\n" between them, "\n]"
+    left = F.floor((F.col("all") + 2) * share) - F.when(first, 0).otherwise(F.col("base") + F.col("before") + 2)
+    lines = rows.select("y", "k", left.alias("left"), line.alias("line")).filter("left >= 0")
+    lines = lines.select("y", "k", F.when(F.length("line") > F.col("left"), F.substring("line", F.lit(1), F.col("left").cast("int"))).otherwise(F.col("line")).alias("value"))
     path = scratch(spark, "array-tree")
-    years.select("y", F.substring("t", F.lit(1), F.floor(F.length("t") * share).cast("int")).alias("value")).write.partitionBy("y").option("maxRecordsPerFile", 1).text(path)
+    lines.repartitionByRange("y").sortWithinPartitions("y", "k").select("y", "value").write.partitionBy("y").text(path)
     return path
 
 

@@ -3,7 +3,7 @@
 Files are read as pieces that end at closing braces, which Spark's text source cuts in splits as it cuts lines. Whether a piece begins inside
 a string and how deep it begins follow from counts of quotes and brackets in the pieces before, summed within a split first and over
 a file's splits then. An element ends where a brace closes at the depth of the array; its pieces are put together in their split, and only elements that
-lie across a split's edge meet again.
+lie across a split's edge meet again. What is known of a file or a split is a row each and goes to the pieces, so pieces never gather by file.
 
 Rows carry ``_file``, ``_pos`` (which object of the array, from 0) and ``_json``. Values between objects that are no objects are left out.
 
@@ -53,25 +53,28 @@ def _over_splits(rows: DataFrame, value: str, name: str) -> DataFrame:
     each = rows.groupBy(*_SPLIT).agg(F.sum(value).alias("_all"))
     base = each.select(*_SPLIT, _before("_all", [FILE], "_block").alias("_base"))  # a row a split
     here = rows.withColumn(name, _before(value, _SPLIT, "_n"))
-    return here.join(base, _SPLIT).withColumn(name, F.col(name) + F.col("_base")).drop("_base")
+    return here.join(F.broadcast(base), _SPLIT).withColumn(name, F.col(name) + F.col("_base")).drop("_base")
 
 
 def _measured(pieces: DataFrame) -> DataFrame:
     """Pieces with _deep, the depth after each, and _ends: 1 where an element of the array ends."""
-    plain = F.regexp_replace("_piece", r"(?s)\\.", "")
-    rows = pieces.withColumn("_quotes", _count(plain, '"'))
+    # what a piece says by itself, whether it begins inside a string or not, is read off its text once and written
+    change = lambda inside: lambda plain: let(_outside(plain, F.lit(inside)), lambda o: _count(o, "{[") - _count(o, "]"))
+    said = lambda plain: F.struct(_count(plain, '"').alias("_quotes"), change(0)(plain).alias("_o0"), change(1)(plain).alias("_o1"))
+    plain = F.when(F.contains("_piece", F.lit("\\")), F.regexp_replace("_piece", r"(?s)\\.", "")).otherwise(F.col("_piece"))
+    pieces = cut(pieces.withColumn("_said", let(plain, said)).select("*", "_said.*").drop("_said"), "json-read")
+    rows = pieces
     # whether a brace follows is known for all pieces but a file's last: there it shows in the file's size
     last = pieces.groupBy(FILE).agg(F.max(F.struct("_block", "_n")).alias("_last"), (F.sum(F.octet_length("_piece") + 1) == F.max("_size")).alias("_closed"))
-    rows = rows.join(last, FILE).withColumn("_brace", ((F.struct("_block", "_n") != F.col("_last")) | F.col("_closed")).cast("int")).drop("_last", "_closed")
+    rows = rows.join(F.broadcast(last), FILE).withColumn("_brace", ((F.struct("_block", "_n") != F.col("_last")) | F.col("_closed")).cast("int")).drop("_last", "_closed")
     rows = _over_splits(rows, "_quotes", "_quoted")
-    outside = lambda o: F.struct((_count(o, "{[") - _count(o, "]")).alias("change"), o.alias("o"))
-    rows = rows.withColumn("_o", let(_outside(plain, F.col("_quoted") % 2), outside)["change"])
+    rows = rows.withColumn("_o", F.when(F.col("_quoted") % 2 == 0, F.col("_o0")).otherwise(F.col("_o1"))).drop("_o0", "_o1")
     real = (F.col("_brace") == 1) & ((F.col("_quoted") + F.col("_quotes")) % 2 == 0)
     rows = rows.withColumn("_real", real.cast("int")).withColumn("_change", F.col("_o") - F.col("_real"))
     rows = _over_splits(rows, "_change", "_deep").withColumn("_deep", F.col("_deep") + F.col("_change"))
     # a file that doesn't begin with a bracket is read as if it did
     head = F.regexp_replace(F.min_by("_piece", F.struct("_block", "_n")), rf"\A\ufeff?[{SPACE}]*", "")
-    rows = rows.join(pieces.groupBy(FILE).agg((~head.startswith("[")).alias("_bare")), FILE).withColumn("_deep", F.col("_deep") + F.col("_bare").cast("int"))
+    rows = rows.join(F.broadcast(pieces.groupBy(FILE).agg((~head.startswith("[")).alias("_bare"))), FILE).withColumn("_deep", F.col("_deep") + F.col("_bare").cast("int"))
     return rows.withColumn("_ends", ((F.col("_real") == 1) & (F.col("_deep") == 1)).cast("int"))
 
 
@@ -81,7 +84,7 @@ def _groups(rows: DataFrame) -> DataFrame:
     text = F.concat("_piece", F.when(F.col("_brace") == 1, "}").otherwise(""))
     first = rows.groupBy(*_SPLIT).agg(F.min(POS).alias("_first"))
     own = rows.groupBy(*_SPLIT, POS).agg(F.max("_ends").alias("_whole"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", text.alias("t")))), lambda p: p["t"]), "").alias("_text"), F.max("_bare").alias("_bare"))
-    own = own.join(first, _SPLIT)
+    own = own.join(F.broadcast(first), _SPLIT)
     inner = (F.col("_whole") == 1) & (F.col(POS) > F.col("_first"))  # begun and ended in its split
     edge = own.filter(~inner).groupBy(FILE, POS).agg(F.max("_whole").alias("_whole"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_block", "_text"))), lambda p: p["_text"]), "").alias("_text"), F.max("_bare").alias("_bare"))
     return own.filter(inner).select(FILE, POS, "_whole", "_text", "_bare").unionByName(edge)
@@ -124,7 +127,7 @@ def json_array_elements(spark: SparkSession, path: str, mode: str = STRICT, glob
     found = groups.filter("_whole = 1 AND _json IS NOT NULL").select(FILE, POS, "_json")
     if mode == SALVAGE:
         return found
-    return found.join(_files(measured, groups).filter(mode).select(FILE), FILE, "left_semi")
+    return found.join(F.broadcast(_files(measured, groups).filter(mode).select(FILE)), FILE, "left_semi")
 
 
 def json_arrays(spark: SparkSession, path: str, schema: str, mode: str = STRICT, glob: str = "*.json", exclude: str | None = None) -> DataFrame:
