@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from judgex.functions.pytext import col, filled, flat, json_object, list_repr, strip
+from judgex.functions.pytext import col, filled, flat, json_object, let, list_repr, strip
 
 #: Prefixes and instructions of training samples, and their length limits in characters.
 INSTRUCTION, QUESTION, ANSWER = "指令：", "问：", "答："
@@ -74,7 +74,8 @@ def chat_fee(cost_texts: Column | str, plaintiffs: Column | str, defendants: Col
 def sample(instruction: str, question: Column, answer: Column) -> Column:
     """struct<instruction, question, answer, length> of a training sample, with prefixes."""
     i, q, a = F.lit(INSTRUCTION + instruction), F.concat(F.lit(QUESTION), question), F.concat(F.lit(ANSWER), answer)
-    return F.struct(i.alias("instruction"), q.alias("question"), a.alias("answer"), (F.length(i) + F.length(q) + F.length(a)).alias("length"))
+    length = lambda s: s.withField("length", F.length(i) + F.length(s["question"]) + F.length(s["answer"]))
+    return let(F.struct(i.alias("instruction"), q.alias("question"), a.alias("answer")), length)
 
 
 def amount_sample(z4: Column, z3: Column, amount: Column, kind: Column, zone: Column) -> Column:
