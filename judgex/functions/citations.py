@@ -53,16 +53,19 @@ def resolved(citations: Column | str) -> Column:
     Before any is named, that is the law whose first mention comes last in the list; without any named law they are ambiguous.
     """
     a = col(citations)
-    explicit = F.array_distinct(F.filter(F.transform(a, lambda c: _field(c, "law_name")), lambda n: (n != "") & ~n.isin(*PRONOUNS)))
-    seed = F.coalesce(F.try_element_at(explicit, F.lit(-1)), F.lit(""))
-    law_at = lambda i: F.element_at(
-        F.concat(F.array(seed), F.filter(F.transform(F.slice(a, F.lit(1), i + 1), lambda c: _field(c, "law_name")), lambda n: (n != "") & ~n.isin(*PRONOUNS))), -1
-    )
-    vague = lambda c: (_field(c, "law_name") == "") | _field(c, "law_name").isin(*PRONOUNS)
-    done = F.transform(a, lambda c, i: F.when(vague(c), c.withField("law_name", law_at(i))).otherwise(c))
-    nothing = F.slice(a, 1, 0)
-    none_named = F.size(explicit) == 0
-    return F.struct(F.when(none_named, nothing).otherwise(done).alias("resolved"), F.when(none_named, F.filter(a, vague)).otherwise(nothing).alias("ambiguous"))
+    named = lambda n: (n != "") & ~n.isin(*PRONOUNS)
+    vague = lambda c: let(_field(c, "law_name"), lambda n: ~named(n))
+
+    def of(p: Column) -> Column:
+        a, seed = p["a"], F.coalesce(F.try_element_at(p["explicit"], F.lit(-1)), F.lit(""))
+        law_at = lambda i: F.element_at(F.concat(F.array(seed), F.filter(F.slice(p["names"], F.lit(1), i + 1), named)), -1)
+        done = F.transform(a, lambda c, i: F.when(vague(c), c.withField("law_name", law_at(i))).otherwise(c))
+        nothing = F.slice(a, 1, 0)
+        none_named = F.size(p["explicit"]) == 0
+        return F.struct(F.when(none_named, nothing).otherwise(done).alias("resolved"), F.when(none_named, F.filter(a, vague)).otherwise(nothing).alias("ambiguous"))
+
+    with_names = let(F.struct(a.alias("a"), F.transform(a, lambda c: _field(c, "law_name")).alias("names")), lambda p: F.struct(p["a"].alias("a"), p["names"].alias("names"), F.array_distinct(F.filter(p["names"], named)).alias("explicit")))
+    return let(with_names, of)
 
 
 def cleaned(citations: Column | str) -> Column:
