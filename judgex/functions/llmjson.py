@@ -90,8 +90,7 @@ def first_object(c: Column | str) -> Column:
 
     Name the result once (``let``), as every mention of it is computed by itself.
     """
-    if spark := SparkSession.getActiveSession():
-        ship(spark)
+    ship(SparkSession.getActiveSession())
 
     @F.pandas_udf("string")
     def find(s: pd.Series) -> pd.Series:

@@ -6,9 +6,11 @@ import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from judgex.session import ship
+
 #: White space as Python's str.strip and \s see it, as the inside of a character class (Java's own \s is ASCII only).
 SPACE = r"\t-\r\x1c-\x20\x85\xa0" + "".join(f"\\u{i:04x}" for i in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 #: The same characters themselves, for trimming.
@@ -116,7 +118,8 @@ def flat(c: Column | str) -> Column:
 
 
 def nfkc(c: Column | str) -> Column:
-    """Unicode NFKC. Spark has no expression for it; the batches go to Python by Arrow, ASCII ones unchanged."""
+    """Unicode NFKC. Spark has no expression for it; batches of bounded size go to Python by Arrow, ASCII ones unchanged."""
+    ship(SparkSession.getActiveSession())
 
     @F.pandas_udf("string")
     def normal(s: pd.Series) -> pd.Series:
