@@ -62,19 +62,20 @@ def numeral(c: Column | str) -> Column:
         wan = F.split(rest, "万", 2)
         return F.when(F.contains(rest, F.lit("万")), worth(F.get(wan, F.lit(0))) * 10_000 + _section(F.get(wan, F.lit(1)))).otherwise(_section(rest))
 
-    def of(s: Column) -> Column:
-        yi = F.split(s, "亿", -1)
+    def by_yi(yi: Column) -> Column:
         above = F.aggregate(F.slice(yi, F.lit(1), F.size(yi) - 1), F.lit(0).cast("long"), lambda t, p: t + worth(p) * 100_000_000)
+        return (above + let(F.element_at(yi, -1), below)).cast("decimal(38,0)")
+
+    def of(s: Column) -> Column:
         has = s.rlike("[零〇一二两三四五六七八九十百千万亿]")
-        return F.when(s.rlike(r"\A[0-9]+\z"), s.try_cast("decimal(38,0)")).when(has, (above + let(F.element_at(yi, -1), below)).cast("decimal(38,0)"))
+        return F.when(s.rlike(r"\A[0-9]+\z"), s.try_cast("decimal(38,0)")).when(has, let(F.split(s, "亿", -1), by_yi))
 
     return let(strip(F.regexp_replace(F.translate(strip(c), FORMAL, PLAIN), "[元整正]", "")), of)
 
 
 def plain(d: Column) -> Column:
     """A decimal without trailing zeros."""
-    s = d.cast("string")
-    return F.when(F.contains(s, F.lit(".")), F.regexp_replace(s, r"\.?0+\z", "")).otherwise(s)
+    return let(d.cast("string"), lambda s: F.when(F.contains(s, F.lit(".")), F.regexp_replace(s, r"\.?0+\z", "")).otherwise(s))
 
 
 def yuan(value: Column, unit: Column) -> Column:
@@ -156,7 +157,8 @@ def candidates(text: Column, zone: str) -> Column:
 
         def rated(s: Column) -> Column:
             found = F.regexp_extract_all(s, F.lit(note), F.lit(0))
-            return let(_score(F.regexp_replace(s, note, ""), zone) + more, lambda n: F.transform(found, lambda m: F.struct(n.alias("score"), amount(part(m, 1), part(m, 2)).alias("amount"))))
+            score = let(F.regexp_replace(s, note, ""), lambda bare: _score(bare, zone) + more)
+            return let(score, lambda n: F.transform(found, lambda m: F.struct(n.alias("score"), amount(part(m, 1), part(m, 2)).alias("amount"))))
 
         return F.filter(F.flatten(F.transform(sentences, rated)), lambda c: c["amount"] != "")
 
@@ -171,7 +173,7 @@ def weak_number(text: Column | str) -> Column:
     def near(m: Column) -> Column:
         end = m["start"] + F.length(m["text"])
         left = F.greatest(F.lit(0), m["start"] - 10)
-        return any_of(F.substring(t, left + 1, end + 10 - left), WEAK)
+        return let(F.substring(t, left + 1, end + 10 - left), lambda around: any_of(around, WEAK))
 
     values = F.transform(F.filter(matches(t, NUMBER), near), lambda m: m["text"].try_cast("decimal(28,10)"))
     most = F.array_max(F.filter(values, lambda v: v >= 5000))

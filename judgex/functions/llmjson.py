@@ -94,11 +94,12 @@ def first_object(c: Column | str) -> Column:
 
     @F.pandas_udf("string")
     def find(s: pd.Series) -> pd.Series:
-        return s.map(_object_in)
+        return s.map(lambda x: None if x is None else _object_in(x) or "")
 
+    # null goes to Python, and comes back, for a text that is one object; "" comes back where there is none
     whole = lambda s: F.coalesce(s.startswith("{") & F.try_parse_json(s).isNotNull(), F.lit(False))
-    other, own = let(unfenced(c), lambda s: F.when(~whole(s), s)), let(unfenced(c), lambda s: F.when(whole(s), s))
-    return F.coalesce(find(other), own)
+    other = let(unfenced(c), lambda s: F.when(~whole(s), s))
+    return F.nullif(F.coalesce(find(other), unfenced(c)), F.lit(""))
 
 
 def amount(c: Column | str) -> Column:

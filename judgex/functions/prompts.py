@@ -42,13 +42,19 @@ LAW_PROMPT = (
 )
 
 
+def _filled_in(prompt: str, place: str, value: Column) -> Column:
+    """A prompt with a value in its only such place."""
+    before, after = prompt.split(place)
+    return F.concat(F.lit(before), value, F.lit(after))
+
+
 def local_amount(z4: Column | str, z3: Column | str) -> Column:
     question = json_object(Z4_Reasoning=filled(z4), Z3_Fact=filled(z3))
-    return F.replace(F.lit(AMOUNT_PROMPT), F.lit("{question_json}"), question)
+    return _filled_in(AMOUNT_PROMPT, "{question_json}", question)
 
 
 def local_law(text: Column | str) -> Column:
-    return F.replace(F.lit(LAW_PROMPT), F.lit("{text}"), filled(text))
+    return _filled_in(LAW_PROMPT, "{text}", filled(text))
 
 
 def chat_amount(z4: Column | str, z3: Column | str) -> Column:

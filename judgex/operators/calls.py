@@ -161,6 +161,9 @@ def ask(payload: str, key: str | None, transport: Transport, local: bool = False
 
 def in_order(items: Iterable[A], work: Callable[[A], B], in_flight: int, skip: Callable[[A], bool] = lambda _: False) -> Iterator[B | None]:
     """``work`` of every item, in the items' order, at most ``in_flight`` at a time; None for those to skip."""
+    if in_flight == 1:  # no thread has to wait for another
+        yield from (None if skip(item) else work(item) for item in items)
+        return
     waiting: deque[Future | None] = deque()
     pool = ThreadPoolExecutor(in_flight)
     try:
