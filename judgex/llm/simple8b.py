@@ -46,6 +46,29 @@ class Blocks(NamedTuple):
     escapes: np.ndarray
 
 
+def _selectors(ids: np.ndarray, block: int) -> np.ndarray:
+    """For a word that begins at each place the layout of most ids that all fit, or an escape; nothing lies beyond a block's end."""
+    n, blocks, most = len(ids), -(-len(ids) // block), int(ids.max(initial=0))
+    longest = LAYOUTS[0][0]
+    least = np.zeros((blocks, block + longest), np.uint8)  # the first layout that is wide enough for the id
+    flat = np.zeros(blocks * block, np.uint8)
+    for _, bits in LAYOUTS:
+        if most >= 1 << bits:
+            flat[:n] += ids >= _U(1 << bits)
+    least[:, :block] = flat.reshape(blocks, block)
+    tops = {1: least}  # of so many ids from each place on
+    while 2 * (k := max(tops)) <= longest:
+        tops[2 * k] = least = tops[k].copy()
+        np.maximum(least[:, :-k], tops[k][:, k:], out=least[:, :-k])
+    select = np.full((blocks, block), ESCAPE, np.int8)
+    for s in range(len(LAYOUTS) - 1, -1, -1):
+        size = LAYOUTS[s][0]
+        k = 1 << size.bit_length() - 1
+        top = np.maximum(tops[k][:, :block], tops[k][:, size - k : size - k + block])
+        np.copyto(select, np.int8(FIRST + s), where=top <= s)
+    return select.ravel()[:n]
+
+
 def encode(ids: np.ndarray, block: int = BLOCK) -> Blocks:
     """Each word takes as many of the next ids as any selector can."""
     ids = np.ascontiguousarray(ids, np.uint64)
@@ -53,19 +76,15 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> Blocks:
     place = np.arange(n, dtype=np.int32)  # ids are coded in strips of far fewer than 2**31
     end = np.minimum((place // block + 1) * block, n).astype(np.int32)
     left = end - place
-    select, count, most = np.full(n, ESCAPE, np.int8), np.ones(n, np.int32), int(ids.max(initial=0))
+    sizes = np.array([1] * FIRST + [size for size, _ in LAYOUTS], np.int32)
 
     def until(bad: np.ndarray) -> np.ndarray:
         """The first bad place from each place on, or the block's end."""
         at = np.append(np.flatnonzero(bad), n).astype(np.int32)
         return np.minimum(np.repeat(at, np.diff(at, prepend=-1))[:n], end)
 
-    for s in range(len(LAYOUTS) - 1, -1, -1):
-        size, bits = LAYOUTS[s]
-        good = (until(ids >= 1 << bits) if most >= 1 << bits else end) - place
-        fits = good >= np.minimum(size, left)
-        np.copyto(select, np.int8(FIRST + s), where=fits)
-        np.copyto(count, np.minimum(size, left), where=fits)
+    select = _selectors(ids, block)
+    count = np.minimum(sizes[select], left)
     change = np.ones(n, bool)
     change[1:] = ids[1:] != ids[:-1]
     far = until(np.append(change[1:], True)) + 1 if n else place

@@ -23,7 +23,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +35,8 @@ VOCABULARY, END = "byte_bpe_50k.json", 2
 SHARD_IDS = 8 << 20
 #: Distinct pieces that a worker remembers before it starts anew.
 PIECES = 1_000_000
+#: Places of the table that finds most of them at once, a power of two.
+NEAR = 1 << 20
 _SPACE, _LETTER, _NUMBER, _OTHER, _UNKNOWN = 1, 2, 3, 4, 0
 #: Contractions that the byte-level pre-tokenizer cuts off.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -66,6 +67,8 @@ class Pieces:
         self.hashes, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.bytes, self.start = np.zeros(0, np.uint8), np.zeros(1, np.int64)
         self.ids, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        # by the low bits of a hash, one of the known pieces that share them, mostly an early and so a frequent one
+        self.near, self.near_hash = np.full(NEAR, -1, np.int32), np.zeros(NEAR, np.uint64)
 
     def _learn(self, points: np.ndarray) -> None:
         """Ask the pre-tokenizer with what each new character stays together."""
@@ -132,21 +135,36 @@ class Pieces:
         every, number = np.concatenate((self.hashes, hashes)), np.concatenate((self.number, len(self.number) + np.arange(len(hashes))))
         order = np.argsort(every, kind="stable")
         self.hashes, self.number = every[order], number[order]
+        slot = (hashes & np.uint64(NEAR - 1)).astype(np.int64)
+        free = np.flatnonzero(self.near[slot] < 0)
+        self.near[slot[free]] = len(self.start) - 1 + free
+        self.near_hash[slot[free]] = hashes[free]
         self.bytes = np.concatenate((self.bytes, np.frombuffer(b"".join(pieces), np.uint8)))
         self.start = np.concatenate((self.start, self.start[-1] + np.cumsum([len(p) for p in pieces])))
         self.ids, self.first = np.concatenate((self.ids, ids)), np.concatenate((self.first, self.first[-1] + np.cumsum(sizes)))
 
     def _numbers(self, data: np.ndarray, edges: np.ndarray) -> np.ndarray | None:
         """The number of each piece; the pieces are all of ``data``, cut at ``edges``. None if two pieces share a hash."""
-        found, one, which = np.unique(K.RangeHash(data)(edges[:-1], edges[1:]), return_index=True, return_inverse=True)
+        h = K.RangeHash(data)(edges[:-1], edges[1:])
+
+        def known() -> tuple[np.ndarray, np.ndarray]:
+            """Numbers by the low bits of the hashes, and the places of the pieces that these don't tell."""
+            slot = (h & np.uint64(NEAR - 1)).astype(np.int64)
+            no = self.near[slot].astype(np.int64)
+            return no, np.flatnonzero((no < 0) | (self.near_hash[slot] != h))
+
+        no, rest = known()
+        found, one, which = np.unique(h[rest], return_index=True, return_inverse=True)
         fresh = np.flatnonzero(~np.isin(found, self.hashes, assume_unique=True))
         if len(self.hashes) + len(fresh) > PIECES:
             self._forget()
+            no, rest = known()
+            found, one, which = np.unique(h[rest], return_index=True, return_inverse=True)
             fresh = np.arange(len(found))
         if len(fresh):
-            raw, at = data.tobytes(), one[fresh]
+            raw, at = data.tobytes(), rest[one[fresh]]
             self._add(found[fresh], [raw[a:b] for a, b in zip(edges[at].tolist(), edges[at + 1].tolist())])
-        no = self.number[np.searchsorted(self.hashes, found)][which]
+        no[rest] = self.number[np.searchsorted(self.hashes, found)][which]
         size = np.diff(edges)
         if (np.diff(self.start)[no] != size).any():
             return None
@@ -191,7 +209,7 @@ def pieces(path: str, special: bool) -> Pieces:
 
 
 def encoded(docs: DataFrame, parts: int, path: str, end: int = END, special: bool = True) -> DataFrame:
-    """Rows (part, doc_id, tie, ids): each document's range and its ids with the end id, as zstd of 32-bit integers."""
+    """Rows (part, doc_id, tie, wide, ids): each document's range and its ids with the end id, as integers of 16 bits, or 32 where wide."""
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
     least = -(1 << 63)
     shares = [i / parts for i in range(1, parts)]
@@ -199,18 +217,21 @@ def encoded(docs: DataFrame, parts: int, path: str, end: int = END, special: boo
     bounds = np.array(found or [], np.int64)
     def f(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         coder = pieces(path, special)
-        small = zstandard.ZstdCompressor(3)
         doc = np.asarray(b.column("doc_id").fill_null(least))
         lo, hi = np.searchsorted(bounds, doc, "left"), np.searchsorted(bounds, doc, "right")
         spread = np.asarray(b.column("tie").fill_null(0)).view(np.uint64) % (hi - lo + 1).astype(np.uint64)
         part = pa.array((lo + spread.astype(np.int64)).astype(np.int32))
         for s in K.slabs(b.column("text")):
             ids, sizes = coder.encode(s)
-            ends = np.cumsum(sizes)
-            blobs = [small.compress(np.append(ids[e - n : e], np.uint32(end)).astype("<u4").tobytes()) for e, n in zip(ends.tolist(), sizes.tolist())]
-            yield table(part=part.slice(s.lo, s.n), doc_id=b.column("doc_id").slice(s.lo, s.n), tie=b.column("tie").slice(s.lo, s.n), ids=pa.array(blobs, pa.binary()))
+            wide = max(int(ids.max(initial=0)), end) >= 1 << 16
+            ends = np.cumsum(sizes + 1)
+            every = np.full(ends[-1], end, "<u4" if wide else "<u2")
+            every[np.arange(len(ids)) + np.repeat(np.arange(s.n), sizes)] = ids
+            offsets = np.concatenate(([0], ends * every.itemsize))
+            blobs = pa.Array.from_buffers(pa.large_binary(), s.n, [None, pa.py_buffer(offsets), pa.py_buffer(every)]).cast(pa.binary())
+            yield table(part=part.slice(s.lo, s.n), doc_id=b.column("doc_id").slice(s.lo, s.n), tie=b.column("tie").slice(s.lo, s.n), wide=np.full(s.n, wide), ids=blobs)
 
-    return over(docs, f, "part int, doc_id long, tie long, ids binary")
+    return over(docs, f, "part int, doc_id long, tie long, wide boolean, ids binary")
 
 
 def write(docs: DataFrame, folder: str, path: str, parts: int | None = None, end: int = END, shard_ids: int = SHARD_IDS, special: bool = True) -> None:
@@ -222,10 +243,9 @@ def write(docs: DataFrame, folder: str, path: str, parts: int | None = None, end
         ids: list[np.ndarray] = []
         of: list[tuple[int | None, int]] = []
         held, own, seq = 0, -1, 0
-        whole = zstandard.ZstdDecompressor()
         for b in batches:
-            for part, doc_id, blob in zip(*(b.column(c).to_pylist() for c in ("part", "doc_id", "ids"))):
-                x = np.frombuffer(whole.decompress(blob), "<u4")
+            for part, doc_id, wide, blob in zip(*(b.column(c).to_pylist() for c in ("part", "doc_id", "wide", "ids"))):
+                x = np.frombuffer(blob, "<u4" if wide else "<u2")
                 if of and (part != own or held + len(x) > shard_ids):
                     yield table(content=pa.array([simple8b.pack(np.concatenate(ids), of, own, seq)], pa.binary()))
                     seq = seq + 1 if part == own else 0
